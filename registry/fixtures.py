@@ -57,7 +57,8 @@ def source(spark: SparkSession, sf_dir: str) -> DataFrame:
             key % 3 == 1,
             F.concat_ws(" ", "p_name", "p_brand", F.expr("substr(p_type, 1, length(p_type) - 1)"), F.lit("Inc")),
         )
-        .otherwise(F.concat_ws(" ", "p_name", "p_brand", kind, F.lit("group")))
+        .when(size % 2 == 0, F.concat_ws(" ", "p_name", "p_brand", kind, F.lit("group")))
+        .otherwise(F.concat_ws(" ", "p_name", "p_brand", kind, F.lit("Ltd")))
     )
     country = (
         F.when(size == 20, "")
