@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from firmloom.functions.text import _col, blank, whitespace
+from firmloom.functions.text import _col, blank, let, whitespace
 
 # Legal forms removed from the end of a name, and from its start.
 TRAILING_FORMS = (
@@ -21,19 +20,22 @@ TRAILING_FORMS = (
 LEADING_FORMS = ("pt",)
 
 _KEPT = re.compile("[A-Za-z0-9&]")
+_DROPPED = re.compile("[^A-Za-z0-9&]")
 
 
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, dict[str, str]]:
+def _fold_tables() -> tuple[str, str, str]:
     """Compatibility folding, derived from the Unicode data of this Python.
 
-    Returns the characters to translate, their one-character targets (the
-    tail of the first string has no target and is thereby deleted: combining
-    marks), and the characters that expand to several. Characters that fold to
-    nothing a clean name keeps are left out, since they become a space anyway.
+    Returns the characters to translate, their one-character targets (the tail
+    of the first string has no target and is thereby deleted: combining marks),
+    and as `|char=text|char=text|` the characters that expand to several.
+    Characters that fold to nothing a clean name keeps are left out, since they
+    become a space anyway.
     """
-    source, target, marks, expansions = [], [], [], {}
-    for point in range(0x80, sys.maxunicode + 1):
+    source, target, marks, expansions = [], [], [], ["|"]
+    # the first two planes hold every mark and every character that folds to ASCII
+    for point in range(0x80, 0x20000):
         if 0xD800 <= point <= 0xDFFF:
             continue
         char = chr(point)
@@ -48,37 +50,37 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
             source.append(char)
             target.append(folded)
         else:
-            expansions[char] = folded
-    return "".join(source + marks), "".join(target), expansions
+            expansions.append(f"{char}={_DROPPED.sub(' ', folded)}|")
+    return "".join(source + marks), "".join(target), "".join(expansions)
+
+
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
 
 
 def fold_accents(c: Column | str) -> Column:
     """Drop accents and replace compatibility characters by their plain form.
 
-    Pure ASCII values (byte count equals character count) skip the work. One
-    `translate` does all one-to-one cases and turns each character that expands
-    to several into a private-use mark; only values showing that mark take the
-    slower way through a literal map.
+    ASCII values skip the work, and one `translate` does every one-to-one case.
+    Only what still is not ASCII after that is looked at character by character
+    for those that expand to several. Tables are plain strings to keep the plan
+    small.
     """
     c = _col(c)
     source, target, expansions = _fold_tables()
-    mark = "\ue000"
-    plain = F.translate(
-        c,
-        source[: len(target)] + "".join(expansions) + source[len(target) :],
-        target + mark * len(expansions),
-    )
-    pairs = "\x01".join(f"{char}\x02{folded}" for char, folded in expansions.items())
-    expansion_map = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
-    expanded = F.array_join(
-        F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(expansion_map, ch), ch)),
-        "",
-    )
-    return (
-        F.when(F.octet_length(c) == F.length(c), c)
-        .when(~F.contains(plain, F.lit(mark)), plain)
-        .otherwise(F.translate(expanded, source, target))
-    )
+
+    def expand(char: Column) -> Column:
+        key, table = F.concat(F.lit("|"), char, F.lit("=")), F.lit(expansions)
+        after = F.call_function("substring_index", table, key, F.lit(-1))
+        return F.when(_is_ascii(char) | ~F.contains(table, key), char).otherwise(
+            F.substring_index(after, "|", 1)
+        )
+
+    def finish(text: Column) -> Column:
+        spelled = F.array_join(F.transform(F.split(text, ""), expand), "")
+        return F.when(_is_ascii(text), text).otherwise(spelled)
+
+    return F.when(_is_ascii(c), c).otherwise(let(F.translate(c, source, target), finish))
 
 
 def normalize_name(c: Column | str) -> Column:
@@ -102,8 +104,12 @@ def strip_legal_forms(c: Column | str) -> Column:
 
 def clean_name(c: Column | str) -> Column:
     """Normalised name without legal forms, or with them if nothing else is left."""
-    normalized = normalize_name(c)
-    return F.coalesce(F.nullif(strip_legal_forms(normalized), F.lit("")), normalized)
+    return let(
+        normalize_name(c),
+        lambda name: let(
+            strip_legal_forms(name), lambda short: F.when(short != "", short).otherwise(name)
+        ),
+    )
 
 
 def parse_year(c: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -45,3 +46,8 @@ def blank_na(c: Column | str) -> Column:
 def text_or_null(c: Column | str) -> Column:
     """Stripped text, or null where nothing is left."""
     return F.nullif(strip(c), F.lit(""))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` planned and computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

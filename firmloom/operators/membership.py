@@ -10,12 +10,13 @@ one row, every list that has the name flags it, and all lists merge in one plan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from firmloom.operators.dedupe import dedupe_keep_first, first_per_group
+from firmloom.operators.dedupe import dedupe_keep_first
 from firmloom.operators.skew import Volume, measure
 from firmloom.sources.lists import FLAGS, INSERT_NOTE, ListSpec
 
@@ -31,11 +32,9 @@ def dedupe_members(df: DataFrame) -> DataFrame:
 
 def stack_lists(lists: Sequence[DataFrame]) -> DataFrame:
     """Deduplicated rows with a clean name of all lists, numbered from 1."""
-    kept = [
-        dedupe_members(df).where(F.col(NAME) != "").withColumn(LIST, F.lit(number))
-        for number, df in enumerate(lists, 1)
-    ]
-    return reduce(DataFrame.unionByName, kept)
+    numbered = [df.withColumn(LIST, F.lit(number)) for number, df in enumerate(lists, 1)]
+    named = reduce(DataFrame.unionByName, numbered).where(F.col(NAME) != "")
+    return dedupe_keep_first(named, [LIST, *KEYS], "ordinal")
 
 
 def _marks(specs: Sequence[ListSpec], prefix: str) -> list[Column]:
@@ -51,32 +50,47 @@ def _insert_note(specs: Sequence[ListSpec]) -> Column:
 
 
 def new_members(
-    base: DataFrame, incoming: DataFrame, specs: Sequence[ListSpec], flags: Sequence[str] = FLAGS
+    known: DataFrame, incoming: DataFrame, specs: Sequence[ListSpec], flags: Sequence[str] = FLAGS
 ) -> DataFrame:
-    """Rows to insert: the first per name that `base` (names only) lacks."""
-    absent = incoming.join(base.select(NAME).distinct(), NAME, "left_anti")
-    first = first_per_group(absent, [NAME], [LIST, "ordinal"])
-    marks = absent.groupBy(NAME).agg(*_marks(specs, "_m_"))
+    """Rows to insert: the first per name that the base does not know, flagged by
+    every list that has the name. One aggregation, combined per task."""
+    first = F.min(
+        F.struct(
+            LIST, "ordinal", "source_name", "source_country", COUNTRY, "source_sector",
+            _insert_note(specs).alias("source_notes"), "source_url", "source_accessed_date",
+        )
+    ).alias("_first")
+    absent = incoming.join(known.select(NAME).distinct(), NAME, "left_anti")
     own = {s.flag for s in specs}
-    return first.join(marks, NAME).select(
-        LIST, "ordinal", "source_name", NAME, "source_country", COUNTRY, "source_sector",
-        _insert_note(specs).alias("source_notes"),
-        *[(F.col(f"_m_{f}") if f in own else F.lit(0)).alias(f) for f in flags],
-        "source_url", "source_accessed_date",
+    return absent.groupBy(NAME).agg(first, *_marks(specs, "")).select(
+        "_first.*", NAME, *[F.col(f) if f in own else F.lit(0).alias(f) for f in flags]
     )
 
 
+@dataclass(frozen=True)
+class Merge:
+    """Result of a merge.
+
+    `rows` is the merged list, in order of (list_no, ordinal) with the base as
+    list 0; `places` are just those two columns, which need no flags and so
+    less work; `counts` are the rows matched, added and in total per list.
+    """
+
+    rows: DataFrame
+    places: DataFrame
+    counts: DataFrame
+
+
 def merge_membership(
     base: DataFrame,
     lists: Sequence[tuple[ListSpec, DataFrame]],
     flags: Sequence[str] = FLAGS,
     volume: Volume | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """The merged list, and per list the rows matched, added and in total.
+) -> Merge:
+    """Merge lists into `base`, which has one row per clean name and country.
 
-    `base` has one row per clean name and country. Rows of the result are in
-    order of (list_no, ordinal), the base being list 0. Where the lists are
-    small, only their names are sent to the base rows, which stay in place.
+    Where the lists are small, only their names are sent to the base rows,
+    which stay in place.
     """
     specs = [spec for spec, _ in lists]
     incoming = stack_lists([df for _, df in lists])
@@ -86,31 +100,31 @@ def merge_membership(
     known = base.select(*KEYS).join(send(incoming.select(NAME).distinct()), NAME, "left_semi")
     exact = known.where(F.col(COUNTRY) != "")
     strict = incoming.join(exact, KEYS, "left_semi").groupBy(*KEYS).agg(*_marks(specs, "_s_"))
-    loose = (
-        incoming.join(exact, KEYS, "left_anti").groupBy(NAME).agg(*_marks(specs, "_l_"))
-    )
+    loose = incoming.join(exact, KEYS, "left_anti").groupBy(NAME).agg(*_marks(specs, "_l_"))
     own = {s.flag for s in specs}
     order = [
         LIST, "ordinal", "source_name", NAME, "source_country", COUNTRY, "source_sector",
         "source_notes", *flags, "source_url", "source_accessed_date",
     ]
-    flagged = (
+    none = F.lit(0)
+
+    def flagged(c: str) -> Column:
+        marks = (F.coalesce(f"_s_{c}", none), F.coalesce(f"_l_{c}", none))
+        return F.greatest(F.col(c), *marks).alias(c)
+
+    kept = (
         base.withColumn(LIST, F.lit(0))
         .join(send(strict), KEYS, "left")
         .join(send(loose), NAME, "left")
-        .select(
-            *[
-                F.greatest(
-                    F.col(c), F.coalesce(f"_s_{c}", F.lit(0)), F.coalesce(f"_l_{c}", F.lit(0))
-                ).alias(c)
-                if c in own else F.col(c)
-                for c in order
-            ]
-        )
+        .select(*[flagged(c) if c in own else F.col(c) for c in order])
     )
     inserted = new_members(known, incoming, specs, flags)
-    merged = flagged.unionByName(inserted.select(*order))
-    return merged, merge_counts(base, incoming, inserted, specs)
+    places = base.select(F.lit(0).alias(LIST), "ordinal").union(inserted.select(LIST, "ordinal"))
+    return Merge(
+        kept.unionByName(inserted.select(*order)),
+        places,
+        merge_counts(base, incoming, inserted, specs),
+    )
 
 
 def merge_counts(

@@ -54,19 +54,26 @@ def file_ordinal(df: DataFrame, name: str = "row_id") -> DataFrame:
 
 
 def dense_ordinal(
-    df: DataFrame, group: str, order: str, name: str, width: int = 1_000_000
+    df: DataFrame,
+    group: str,
+    order: str,
+    name: str,
+    places: DataFrame | None = None,
+    width: int = 1_000_000,
 ) -> DataFrame:
     """Number rows from 1 by (group, order); `order` is an integer unique per group.
 
     Blocks are ranges of `width` order values, so no block exceeds `width` rows
-    however uneven the groups are.
+    however uneven the groups are. `places` may hold the same (group, order)
+    rows where they are cheaper to get for counting.
     """
-    df = df.withColumn("_block", F.floor(F.col(order) / width))
     keys = [group, "_block"]
-    offsets = preceding(df.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
+    block = F.floor(F.col(order) / width).alias("_block")
+    places = (df if places is None else places).select(group, block)
+    offsets = preceding(places.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     return (
-        df.join(offsets.drop("_n"), keys)
+        df.withColumn("_block", block).join(offsets.drop("_n"), keys)
         .withColumn(name, (inside + F.col("_offset")).cast("long"))
         .drop("_block", "_offset")
     )

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmloom.operators.membership import LIST, dedupe_members, merge_membership
+from firmloom.operators.membership import LIST, Merge, dedupe_members, merge_membership
 from firmloom.operators.ordinals import dense_ordinal, surrogate_id
+from firmloom.operators.quality import stack
 from firmloom.operators.skew import Volume
 from firmloom.sources.lists import BASE_SPEC, FLAGS, MEMBER_SPECS, ListSpec, member_frame
 
@@ -20,12 +21,11 @@ def _merged(
     base_spec: ListSpec = BASE_SPEC,
     specs: Sequence[ListSpec] = MEMBER_SPECS,
     volume: Volume | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, Merge]:
     frame = member_frame(base, base_spec, accessed)
     members = [(s, member_frame(df, s, accessed)) for s, df in zip(specs, lists, strict=True)]
     unique = dedupe_members(frame)
-    merged, counts = merge_membership(unique, members, volume=volume)
-    return frame, merged, counts
+    return frame, unique, merge_membership(unique, members, volume=volume)
 
 
 def build_source_list(
@@ -37,8 +37,8 @@ def build_source_list(
     unique after deduplication and inserts bring new names, so the result
     needs no second deduplication.
     """
-    _, merged, _ = _merged(base, lists, accessed, **options)
-    return dense_ordinal(merged, LIST, "ordinal", "_place").select(
+    _, _, merge = _merged(base, lists, accessed, **options)
+    return dense_ordinal(merge.rows, LIST, "ordinal", "_place", merge.places).select(
         surrogate_id("_place").alias("source_id"),
         "source_name",
         "source_country",
@@ -54,30 +54,23 @@ def build_counts(
     base: DataFrame, lists: Sequence[DataFrame], accessed: str, **options
 ) -> DataFrame:
     """Row counts of the build as (metric, value) rows."""
-    frame, merged, counts = _merged(base, lists, accessed, **options)
-    raw = [("base_raw_rows", base)] + [
-        (f"{s.flag}_raw_rows", df) for s, df in zip(options.get("specs", MEMBER_SPECS), lists)
+    frame, unique, merge = _merged(base, lists, accessed, **options)
+    specs = options.get("specs", MEMBER_SPECS)
+    tables = {
+        "base_raw_rows": base,
+        **{f"{spec.flag}_raw_rows": df for spec, df in zip(specs, lists)},
+        "base_rows_before_dedupe": frame,
+        "base_rows_after_dedupe": unique,
+        "final_rows": merge.places,
+    }
+    totals = [
+        df.agg(F.count("*").alias("value")).select(F.lit(metric).alias("metric"), "value")
+        for metric, df in tables.items()
     ]
-    parts = [df.agg(F.count("*").alias("value")).select(F.lit(m).alias("metric"), "value") for m, df in raw]
-    before = frame.agg(F.count("*").alias("value")).select(
-        F.lit("base_rows_before_dedupe").alias("metric"), "value"
+    per_list = F.array(
+        *[
+            F.struct(F.concat("flag", F.lit(f"_{c}")).alias("metric"), F.col(c).alias("value"))
+            for c in ("matched", "added", "rows_after")
+        ]
     )
-    unique = dedupe_members(frame).agg(F.count("*").alias("value")).select(
-        F.lit("base_rows_after_dedupe").alias("metric"), "value"
-    )
-    final = merged.agg(F.count("*").alias("value")).select(F.lit("final_rows").alias("metric"), "value")
-    steps = counts.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.concat("flag", F.lit(f"_{c}")).alias("metric"), F.col(c).alias("value")
-                    )
-                    for c in ("matched", "added", "rows_after")
-                ]
-            )
-        )
-    )
-    for part in (*parts[1:], before, unique, final, steps):
-        parts[0] = parts[0].unionByName(part)
-    return parts[0]
+    return stack([*totals, merge.counts.select(F.inline(per_list))])

@@ -408,14 +408,13 @@ def dedupe_keep_first(spark, sf_dir):
 
 @query
 def merge_membership(spark, sf_dir):
-    merged, _ = _merge(spark, sf_dir, 1)
-    return merged.drop("source_accessed_date", "source_url")
+    rows = _merge(spark, sf_dir, 1).rows
+    return rows.drop("source_accessed_date", "source_url")
 
 
 @query
 def merge_counts(spark, sf_dir):
-    _, counts = _merge(spark, sf_dir, 3)
-    return counts
+    return _merge(spark, sf_dir, 3).counts
 
 
 @query
