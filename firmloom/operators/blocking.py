@@ -19,7 +19,7 @@ from firmloom.operators.skew import Volume, measure, salted_join
 BLOCK = ["block_level", "block_country", "block_name"]
 SOURCE = ["name_clean", "country_norm"]
 ALL_ROWS = 6
-SOURCES_PER_TASK = 1_000
+SOURCES_PER_TASK = 250
 
 
 @dataclass(frozen=True)

@@ -89,7 +89,9 @@ def score_candidates(sets: DataFrame, top_k: int = 3) -> DataFrame:
     sets = sets.withColumn("_scored", F.transform("_lengths", score))
     top = F.slice(F.sort_array(F.transform("_scored", ranked)), 1, top_k)
     keep = [c for c in sets.columns if not c.startswith("_")]
-    return sets.withColumn("top", top).select(*keep, "top")
+    # explode keeps later filters on the scores from being planned below, where
+    # they would compute the whole expression once per comparison
+    return sets.select(*keep, F.explode(F.array(top)).alias("top"))
 
 
 def top_candidates(scored: DataFrame) -> DataFrame:

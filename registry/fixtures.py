@@ -15,7 +15,14 @@ SENTENCE_BREAK = r"[.\n|]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one that comes in fewer pieces than there are cores is dealt out.
+
+    The small test tables are one row group each, which a single task would
+    read and then clean alone. Larger tables bring enough pieces of their own.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def code(prefix: str, number: Column | str) -> Column:
