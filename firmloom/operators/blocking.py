@@ -163,11 +163,10 @@ def candidate_sets(
     placed = place_sources(named.distinct(), entities, rules, small)
     blocks = build_blocks(entities, placed, rules, small)
     # a short source row grows to a whole block to be scored, which byte-based
-    # partition sizes cannot see, so the number of tasks follows the row count
+    # partition sizes cannot see, so tasks and slices follow the row count
     tasks = volume.tasks(SOURCES_PER_TASK)
-    if small:
-        return placed.join(blocks, BLOCK, "left").repartition(tasks, *SOURCE)
-    return salted_join(placed, blocks, BLOCK, SOURCE, "left", partitions=tasks)
+    per_slice = max(SOURCES_PER_TASK, volume.rows // tasks)
+    return salted_join(placed, blocks, BLOCK, SOURCE, "left", per_slice, tasks)
 
 
 def block_candidates(
