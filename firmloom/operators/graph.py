@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from firmloom.functions.names import parse_year
 from firmloom.functions.text import blank
 from firmloom.operators.checks import nonblank_endpoints, without_self_edges
+from firmloom.operators.skew import salted_join
 
 # Constant columns of the edge table.
 DIRECTION = "child_to_parent"
@@ -34,11 +35,12 @@ def endpoints(edges: DataFrame) -> DataFrame:
 def nodes_with_flag(entities: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes with `in_relationships`: whether any edge ends there."""
     marked = endpoints(edges).withColumn("_hit", F.lit(True))
-    nodes = entities.select(
-        *[blank(c).alias(c) for c in ("lei", "legal_name", "legal_name_clean", "country")]
-    )
-    return nodes.join(marked, "lei", "left").select(
-        *nodes.columns, F.col("_hit").isNotNull().alias("in_relationships")
+    columns = ("lei", "legal_name", "legal_name_clean", "country")
+    place = ["row_id"] if "row_id" in entities.columns else []
+    nodes = entities.select(*place, *[blank(c).alias(c) for c in columns])
+    # many entities may share the blank LEI, so hot LEIs are cut into slices
+    return salted_join(nodes, marked, ["lei"], place or list(columns[1:]), "left").select(
+        *columns, F.col("_hit").isNotNull().alias("in_relationships")
     )
 
 
@@ -114,12 +116,14 @@ def top_degree(degrees: DataFrame, key: str, value: str, n: int = 20) -> DataFra
 
 def nodes_in_network(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes at an end of an edge whose ends are both filled."""
-    return nodes.join(endpoints(nonblank_endpoints(edges)), "lei", "left_semi")
+    named = nodes.where(F.col("lei") != "")
+    return named.join(endpoints(nonblank_endpoints(edges)), "lei", "left_semi")
 
 
 def missing_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Endpoint LEIs that no node describes."""
-    return endpoints(nonblank_endpoints(edges)).join(nodes.select("lei"), "lei", "left_anti")
+    known = nodes.select("lei").distinct()
+    return endpoints(nonblank_endpoints(edges)).join(known, "lei", "left_anti")
 
 
 def missing_examples(nodes: DataFrame, edges: DataFrame, n: int = 20) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmloom.operators.dedupe import dedupe_keep_first
-from firmloom.operators.skew import Volume, measure
+from firmloom.operators.skew import Volume, measure, salted_join
 from firmloom.sources.lists import FLAGS, INSERT_NOTE, ListSpec
 
 NAME, COUNTRY = "source_name_clean", "source_country_norm"
@@ -49,8 +49,19 @@ def _insert_note(specs: Sequence[ListSpec]) -> Column:
     return F.concat(F.element_at(labels, F.col(LIST)), F.col("source_notes"))
 
 
+def _attach(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], small: bool) -> DataFrame:
+    """Left join of a table with one row per key: broadcast, or cut by hot keys."""
+    if small:
+        return left.join(F.broadcast(right), keys, "left")
+    return salted_join(left, right, keys, spread, "left")
+
+
 def new_members(
-    known: DataFrame, incoming: DataFrame, specs: Sequence[ListSpec], flags: Sequence[str] = FLAGS
+    known: DataFrame,
+    incoming: DataFrame,
+    specs: Sequence[ListSpec],
+    flags: Sequence[str] = FLAGS,
+    small: bool = False,
 ) -> DataFrame:
     """Rows to insert: the first per name that the base does not know, flagged by
     every list that has the name. One aggregation, combined per task."""
@@ -60,7 +71,8 @@ def new_members(
             _insert_note(specs).alias("source_notes"), "source_url", "source_accessed_date",
         )
     ).alias("_first")
-    absent = incoming.join(known.select(NAME).distinct(), NAME, "left_anti")
+    names = known.select(NAME).distinct().withColumn("_known", F.lit(1))
+    absent = _attach(incoming, names, [NAME], [LIST, COUNTRY], small).where("_known is null")
     own = {s.flag for s in specs}
     return absent.groupBy(NAME).agg(first, *_marks(specs, "")).select(
         "_first.*", NAME, *[F.col(f) if f in own else F.lit(0).alias(f) for f in flags]
@@ -95,9 +107,13 @@ def merge_membership(
     specs = [spec for spec, _ in lists]
     incoming = stack_lists([df for _, df in lists])
     volume = volume or measure(incoming.select(*KEYS))
-    send = F.broadcast if volume.broadcastable else (lambda df: df)
-    # base keys whose name some list has; at most a few per listed name
-    known = base.select(*KEYS).join(send(incoming.select(NAME).distinct()), NAME, "left_semi")
+    small = volume.broadcastable
+    # base keys whose name some list has
+    listed = incoming.select(NAME).distinct()
+    if small:
+        known = base.select(*KEYS).join(F.broadcast(listed), NAME, "left_semi")
+    else:
+        known = salted_join(base.select(*KEYS), listed, [NAME], [COUNTRY])
     exact = known.where(F.col(COUNTRY) != "")
     strict = incoming.join(exact, KEYS, "left_semi").groupBy(*KEYS).agg(*_marks(specs, "_s_"))
     loose = incoming.join(exact, KEYS, "left_anti").groupBy(NAME).agg(*_marks(specs, "_l_"))
@@ -112,13 +128,11 @@ def merge_membership(
         marks = (F.coalesce(f"_s_{c}", none), F.coalesce(f"_l_{c}", none))
         return F.greatest(F.col(c), *marks).alias(c)
 
-    kept = (
-        base.withColumn(LIST, F.lit(0))
-        .join(send(strict), KEYS, "left")
-        .join(send(loose), NAME, "left")
-        .select(*[flagged(c) if c in own else F.col(c) for c in order])
+    kept = _attach(base.withColumn(LIST, F.lit(0)), strict, KEYS, ["ordinal"], small)
+    kept = _attach(kept, loose, [NAME], ["ordinal"], small).select(
+        *[flagged(c) if c in own else F.col(c) for c in order]
     )
-    inserted = new_members(known, incoming, specs, flags)
+    inserted = new_members(known, incoming, specs, flags, small)
     places = base.select(F.lit(0).alias(LIST), "ordinal").union(inserted.select(LIST, "ordinal"))
     return Merge(
         kept.unionByName(inserted.select(*order)),
