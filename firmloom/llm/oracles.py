@@ -2,6 +2,44 @@
 
 from __future__ import annotations
 
+OP1 = r"""
+with d as materialized (
+  select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as ws
+  from documents
+),
+b as materialized (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from benchmark
+),
+i as (select item_id, ws, least(len(ws), 10) as n from b where len(ws) > 0),
+windows as materialized (
+  select distinct item_id, n, array_to_string(ws[k : k + n - 1], ' ') as gram
+  from (select *, unnest(range(1, len(ws) - n + 2)) as k from i)
+),
+sizes as (select distinct n from windows),
+grams as (
+  select doc_id, n, k, array_to_string(ws[k : k + n - 1], ' ') as gram
+  from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as k from d, sizes where len(ws) >= n)
+),
+hits as materialized (
+  select distinct g.doc_id, w.item_id, g.n, g.k from grams g join windows w on g.n = w.n and g.gram = w.gram
+),
+covered as (
+  select doc_id, count(distinct p) as n_hit
+  from (select doc_id, unnest(range(k, k + n)) as p from hits) group by doc_id
+),
+named as (
+  select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as ids
+  from (select distinct doc_id, item_id from hits) group by doc_id
+)
+select d.doc_id, len(d.ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (doc_id) left join named using (doc_id)
+"""
+
 OP8 = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as vec
@@ -20,4 +58,7 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
-ORACLES = {"op8_voronoi_knn": OP8}
+ORACLES = {
+    "op1_decontaminate": OP1,
+    "op8_voronoi_knn": OP8,
+}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmloom.llm import packing, token_counts, voronoi
+from firmloom.llm import decontaminate, packing, secrets, simhash, token_counts, voronoi
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.col("n_hit").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    kinds = F.array(*map(F.lit, secrets.KINDS))
+
+    def joined(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["end"])), ","
+        )
+
+    def number(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(joined(F.filter("spans", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        number(3).alias("n_format"),
+    )
+
+
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, 512)
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -35,6 +75,9 @@ def op9_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_decontaminate,
+        op2_secret_scan,
+        op5_simhash_dedup,
         op7_token_counts,
         op8_voronoi_knn,
         op9_shortest_pack_first,
