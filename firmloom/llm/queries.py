@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmloom.llm import decontaminate, packing, secrets, simhash, token_counts, voronoi
+from firmloom.llm import chat, decontaminate, packing, resample, secrets, simhash, token_counts, voronoi
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -51,11 +51,51 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    windows = chat.format_windows(turns.unionByName(odd), budget=1024, history=256)
+    read = chat.read_windows(windows.withColumn("n_chars", F.length("text")), "n_chars")
+    said = F.array_join(
+        F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    part = F.struct(
+        "window", said.alias("said"), F.array_join("targets", "").alias("learnt"),
+        F.size("turns").alias("n"), "n_chars",
+    )
+
+    def joined(field: str):
+        return F.array_join(F.transform("parts", lambda p: p[field]), "")
+
+    def summed(field: str):
+        return F.aggregate("parts", F.lit(0).cast("long"), lambda acc, p: acc + p[field])
+
+    whole = read.groupBy("conv_id", "conv_key").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    return whole.select(
+        "conv_id",
+        summed("n").alias("n_turns"),
+        F.sha2(joined("said"), 256).alias("turns_sha256"),
+        F.length(joined("learnt")).cast("long").alias("loss_chars"),
+        F.sha2(joined("learnt"), 256).alias("loss_sha256"),
+        summed("n_chars").alias("formatted_chars"),
+        F.size("parts").cast("long").alias("n_windows"),
+    )
+
+
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), 4, 4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, 512)
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -77,7 +117,9 @@ QUERIES = {
     for f in (
         op1_decontaminate,
         op2_secret_scan,
+        op4_chat_windows,
         op5_simhash_dedup,
+        op6_importance_resampling,
         op7_token_counts,
         op8_voronoi_knn,
         op9_shortest_pack_first,
