@@ -32,9 +32,9 @@ WIDTH = KINDS * BUCKETS
 #: The bucket, among those of marks, of a word that stands three times in a row.
 THRICE = WIDTH - 1
 #: A feature counts if the target should hold it this often, and its share is this low in logs.
-LEAST_EXPECTED, DEAD_ZONE = 8.0, -2.0
+LEAST_EXPECTED, DEAD_ZONE = 8.0, -2.5
 #: What losing a good document counts against keeping a bad one when the cut is chosen.
-LOSS = 5.0
+LOSS = 3.0
 
 _PLAIN = bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 _MARKS = bytes(b for b in range(0x21, 0x7F) if b not in _PLAIN)
@@ -54,7 +54,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         text = bare.decode(errors="replace")
         marks = w.translate(None, _PLAIN)
         known.append(
-            (digest(bare), digest(text[:4], 4) if len(text) > 4 else 0, digest(text[:5], 5) if len(text) > 5 else 0,
+            (digest(bare) if bare else 0, digest(text[:4], 4) if len(text) > 4 else 0, digest(text[:5], 5) if len(text) > 5 else 0,
              digest(marks, 1) if marks else 0)
         )
     hashes = np.array(known, dtype=np.uint64).reshape(-1, KINDS)
@@ -179,9 +179,9 @@ def kth_largest(df: DataFrame, column: str, k: int, bits: int = 48, step: int =
 
 
 def parting(sample: pd.DataFrame) -> float:
-    """The limit between -1 and -20 with the least loss on the sample (label, w, n): the share of good
+    """The limit between -1 and -40 with the least loss on the sample (label, w, n): the share of good
     rows below it times LOSS, and the share of bad rows above it; the highest of equals."""
-    limits = np.arange(-1.0, -20.5, -0.5)
+    limits = np.arange(-1.0, -40.5, -0.5)
     loss = np.zeros(len(limits))
     for label, factor in ((1, LOSS), (0, 1.0)):
         part = sample[sample["label"] == label]
