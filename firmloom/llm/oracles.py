@@ -58,7 +58,31 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
+OP10 = r"""
+with d as materialized (
+  select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as ws from documents
+),
+w as materialized (
+  select doc_id, k, md5(array_to_string(ws[k : k + 34], ' ')) as g
+  from (select doc_id, ws, unnest(range(1, len(ws) - 33)) as k from d where len(ws) >= 35)
+),
+repeated as (select g from w group by g having count(*) > 1),
+covered as materialized (
+  select distinct doc_id, unnest(range(k, k + 35)) as p from w where g in (select g from repeated)
+),
+left_over as (
+  select x.doc_id, string_agg(x.word, ' ' order by x.p) as kept, count(*) as n
+  from (select doc_id, unnest(ws) as word, generate_subscripts(ws, 1) as p from d) x
+  anti join covered c on x.doc_id = c.doc_id and x.p = c.p
+  group by x.doc_id
+)
+select d.doc_id, len(d.ws)::bigint as n_words, (len(d.ws) - coalesce(l.n, 0))::bigint as n_removed,
+  sha256(coalesce(l.kept, '')) as kept_sha256
+from d left join left_over l on d.doc_id = l.doc_id
+"""
+
 ORACLES = {
     "op1_decontaminate": OP1,
     "op8_voronoi_knn": OP8,
+    "op10_fm_substring_dedup": OP10,
 }

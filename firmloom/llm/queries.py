@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmloom.llm import chat, decontaminate, packing, resample, secrets, simhash, token_counts, voronoi
+from firmloom.llm import chat, decontaminate, fm_dedup, packing, resample, secrets, simhash, token_counts, voronoi
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -112,6 +112,16 @@ def op9_shortest_pack_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, 4096, 2)
 
 
+def op10_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_dedup.without_repeats(table(spark, sf_dir, "documents"), 35)
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.col("n_removed").cast("long").alias("n_removed"),
+        "kept_sha256",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -123,5 +133,6 @@ QUERIES = {
         op7_token_counts,
         op8_voronoi_knn,
         op9_shortest_pack_first,
+        op10_fm_substring_dedup,
     )
 }
