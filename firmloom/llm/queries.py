@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmloom.llm import chat, decontaminate, fm_dedup, packing, resample, secrets, simhash, token_counts, voronoi
+from firmloom.llm import chat, decontaminate, fm_dedup, packing, pseudo_likelihood, resample, secrets, simhash, token_counts, voronoi
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -51,6 +51,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudo_likelihood.pseudo_likelihood(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens", "pll", "mean_pll")
+
+
 def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.range(2).select(
@@ -127,6 +132,7 @@ QUERIES = {
     for f in (
         op1_decontaminate,
         op2_secret_scan,
+        op3_pseudo_likelihood,
         op4_chat_windows,
         op5_simhash_dedup,
         op6_importance_resampling,
