@@ -74,7 +74,7 @@ class Shares:
 
     def weights(self, texts: list[bytes]) -> np.ndarray:
         buckets, owners = features(texts)
-        return np.bincount(owners, self.logs[buckets], minlength=len(texts)) if len(texts) else np.zeros(0)
+        return np.bincount(owners, self.logs[buckets], minlength=len(texts)).astype(float)
 
 
 def labelled(labels: DataFrame, most: int = 20_000) -> tuple[np.ndarray, np.ndarray, float]:
