@@ -68,6 +68,7 @@ def fold_accents(c: Column | str) -> Column:
     """
     c = _col(c)
     source, target, expansions = _fold_tables()
+    expanding = "".join(re.findall(r"\|(.)=", expansions))
 
     def expand(char: Column) -> Column:
         key, table = F.concat(F.lit("|"), char, F.lit("=")), F.lit(expansions)
@@ -78,7 +79,9 @@ def fold_accents(c: Column | str) -> Column:
 
     def finish(text: Column) -> Column:
         spelled = F.array_join(F.transform(F.split(text, ""), expand), "")
-        return F.when(_is_ascii(text), text).otherwise(spelled)
+        # most other scripts hold nothing that expands, and become spaces later
+        same = F.length(F.translate(text, expanding, "")) == F.length(text)
+        return F.when(_is_ascii(text) | same, text).otherwise(spelled)
 
     return F.when(_is_ascii(c), c).otherwise(let(F.translate(c, source, target), finish))
 

@@ -6,7 +6,7 @@ wide; level 6 is the whole register, used when nothing narrower exists.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +24,17 @@ SOURCES_PER_TASK = 250
 
 @dataclass(frozen=True)
 class BlockingRules:
-    """Which key parts may block, and how many rows of a block are looked at."""
+    """Which key parts may block, and how many rows of a block are scored.
+
+    Equal names are found in the whole block; with `exact_in_cap` only among the
+    rows that are scored.
+    """
 
     use_country: bool = True
     use_first_token: bool = True
     use_first_char: bool = True
     max_candidates: int = 50
+    exact_in_cap: bool = False
 
     def levels(self) -> list[int]:
         allowed = {
@@ -55,7 +60,7 @@ def first_token(c: Column | str) -> Column:
 
 
 def blocking_label(country: Column | str, name: Column | str) -> Column:
-    """The keys of a source as one readable string."""
+    """The keys of a source as one readable string (its form is a fixed value)."""
     country = _col(country)
     return F.concat(
         F.lit("country="), F.when(country == "", F.lit("NA")).otherwise(country),
@@ -72,7 +77,7 @@ def _parts(level: Column, country: Column, name: Column) -> tuple[Column, Column
     )
 
 
-def _with_keys(df: DataFrame, levels: list[int], country: str, name: str) -> DataFrame:
+def with_keys(df: DataFrame, levels: list[int], country: str, name: str) -> DataFrame:
     """One row per level whose key parts are all filled."""
     level = F.col("block_level")
     country_part, name_part = _parts(level, F.col(country), F.col(name))
@@ -94,8 +99,8 @@ def place_sources(
     then keeps only keys somebody asks for. With many, the register's distinct
     keys are shuffled and hot keys of the sources are cut into slices.
     """
-    asked = _with_keys(sources, rules.levels(), "country_norm", "name_clean")
-    present = _with_keys(
+    asked = with_keys(sources, rules.levels(), "country_norm", "name_clean")
+    present = with_keys(
         entities.select("country_norm", "legal_name_clean"),
         rules.levels(), "country_norm", "legal_name_clean",
     ).select(*BLOCK)
@@ -116,7 +121,7 @@ def place_sources(
 
 def cap_block(keyed: DataFrame, cap: int) -> DataFrame:
     """First `cap` rows of every block in register order, blank names included."""
-    return first_per_group(keyed, BLOCK, ["row_id"], cap)
+    return first_per_group(keyed, BLOCK, ["row_id"], cap, salts=32)
 
 
 def build_blocks(
@@ -127,7 +132,7 @@ def build_blocks(
     The cap comes before any join, and each map task trims a block to the cap,
     so neither a popular word nor the all-rows block gathers in one place.
     """
-    keyed = _with_keys(
+    keyed = with_keys(
         entities, [*rules.levels(), ALL_ROWS], "country_norm", "legal_name_clean"
     )
     if small:
@@ -137,12 +142,34 @@ def build_blocks(
         sorted_tokens("legal_name_clean").alias("sorted"),
         token_set("legal_name_clean").alias("tokens"),
     )
+    # one row more than the cap tells whether the block was cut
+    cap = rules.max_candidates
     return (
-        cap_block(keyed, rules.max_candidates)
+        cap_block(keyed, cap + 1)
         .withColumn("member", member)
         .groupBy(*BLOCK)
         .agg(F.sort_array(F.collect_list("member")).alias("members"))
+        .select(*BLOCK, F.slice("members", 1, cap).alias("members"), (F.size("members") > cap).alias("block_cut"))
+    )
+
+
+def exact_matches(placed: DataFrame, entities: DataFrame) -> DataFrame:
+    """First entity in register order of the same cleaned name in each source's whole block.
+
+    Both sides hold a (name, country) pair once, so no name is hot. Equal names
+    share token and first character; only a block's country can part them.
+    """
+    member = F.struct("row_id", "lei", "legal_name", "legal_name_clean")
+    named = (
+        entities.where(F.col("legal_name_clean") != "")
+        .groupBy("legal_name_clean", F.col("country_norm").alias("_country"))
+        .agg(F.min_by(member, "row_id").alias("member"))
+    )
+    same = (F.col("name_clean") == F.col("legal_name_clean")) & (
+        (F.col("block_country") == "") | (F.col("block_country") == F.col("_country"))
     )
+    found = placed.join(named, same)
+    return found.groupBy(*SOURCE).agg(F.min_by("member", F.col("member.row_id")).alias("exact"))
 
 
 def candidate_sets(
@@ -151,7 +178,8 @@ def candidate_sets(
     rules: BlockingRules = BlockingRules(),
     volume: Volume | None = None,
 ) -> DataFrame:
-    """Distinct sources with their block and its members (null if the register is empty).
+    """Distinct sources with their block and its members (null if the register is empty),
+    whether the block was cut, and unless `rules.exact_in_cap` their exact match.
 
     `sources` needs name_clean and country_norm, `entities` row_id, lei,
     legal_name, legal_name_clean and country_norm. `volume` is the size of the
@@ -166,7 +194,10 @@ def candidate_sets(
     # partition sizes cannot see, so tasks and slices follow the row count
     tasks = volume.tasks(SOURCES_PER_TASK)
     per_slice = max(SOURCES_PER_TASK, volume.rows // tasks)
-    return salted_join(placed, blocks, BLOCK, SOURCE, "left", per_slice, tasks)
+    sets = salted_join(placed, blocks, BLOCK, SOURCE, "left", per_slice, tasks)
+    if rules.exact_in_cap:
+        return sets
+    return sets.join(exact_matches(placed, entities), SOURCE, "left")
 
 
 def block_candidates(
@@ -175,9 +206,9 @@ def block_candidates(
     rules: BlockingRules = BlockingRules(),
     volume: Volume | None = None,
 ) -> DataFrame:
-    """One row per distinct source and candidate."""
-    sets = candidate_sets(sources, entities, rules, volume)
-    return sets.select(*SOURCE, "block_level", F.explode("members").alias("member")).select(
-        *SOURCE, "block_level", "member.row_id", "member.lei", "member.legal_name",
+    """One row per distinct source and candidate to be scored."""
+    sets = candidate_sets(sources, entities, replace(rules, exact_in_cap=True), volume)
+    return sets.select(*SOURCE, "block_level", "block_cut", F.explode("members").alias("member")).select(
+        *SOURCE, "block_level", "block_cut", "member.row_id", "member.lei", "member.legal_name",
         "member.legal_name_clean",
     )

@@ -19,6 +19,7 @@ SAMPLE_COLUMNS = (
 TEMPLATE_COLUMNS = (
     "source_id", "source_name_raw", "matched_lei", "matched_legal_name", "match_score",
 )
+LABEL_COLUMNS = ("sample_group", *TEMPLATE_COLUMNS, "label", "notes")
 
 
 def sample_per_group(walk: DataFrame, n: int = 100, seed: int = 42) -> DataFrame:
@@ -32,7 +33,7 @@ def sample_per_group(walk: DataFrame, n: int = 100, seed: int = 42) -> DataFrame
     )
     draw = F.md5(F.concat(F.lit(f"{seed}|"), F.col("source_id")))
     extra = ["blocking_keys"] if "blocking_keys" in walk.columns else []
-    return first_per_group(grouped, ["sample_group"], [draw, "source_id"], n).select(
+    return first_per_group(grouped, ["sample_group"], [draw, "source_id"], n, salts=32).select(
         "sample_group", *SAMPLE_COLUMNS, *extra
     )
 
@@ -46,7 +47,7 @@ def label_template(sample: DataFrame) -> DataFrame:
 
 def tidy_labels(labels: DataFrame) -> DataFrame:
     """Groups and labels stripped and in lower case, notes stripped."""
-    require_columns(labels, ("sample_group", "label", "notes"), "label table")
+    require_columns(labels, LABEL_COLUMNS, "label table")
     return labels.select(
         F.lower(strip(blank("sample_group"))).alias("sample_group"),
         F.lower(strip(blank("label"))).alias("label"),

@@ -2,8 +2,8 @@
 
 Both functions count rows per block (a file split, or a range of an existing
 order), add up the counts of the preceding blocks, and number rows inside their
-block. Only the block table, one row per split or per million rows, passes
-through a single task.
+block. Only the block table, one row per split or a bounded number of ranges,
+passes through a single task.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 FILE, START, SEEN = "_file", "_start", "_seen"
+# Most splits whose offsets are broadcast: some ten MB.
+BROADCAST_SPLITS = 100_000
 
 
 def preceding(blocks: DataFrame, order: list[str], count: str = "_n") -> DataFrame:
@@ -41,8 +43,13 @@ def number_by_split(scan: DataFrame, blocks: DataFrame, name: str) -> DataFrame:
     `blocks` holds per split `_n` rows and `_first`, their lowest running number.
     """
     offsets = preceding(blocks, [FILE, START])
-    return scan.join(offsets, [FILE, START]).withColumn(
-        name, F.col(SEEN) - F.col("_first") + F.col("_offset") + 1
+    # one short row a split: sent to the rows, which then stay where they are
+    if scan.rdd.getNumPartitions() <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
+    number = F.col(SEEN) - F.col("_first") + F.col("_offset") + 1
+    missing = F.raise_error(F.lit("a file split has no offset: the files or split sizes changed in between"))
+    return scan.join(offsets, [FILE, START], "left").withColumn(
+        name, F.when(F.col("_offset").isNull(), missing.cast("long")).otherwise(number)
     )
 
 
@@ -59,21 +66,25 @@ def dense_ordinal(
     order: str,
     name: str,
     places: DataFrame | None = None,
-    width: int = 1_000_000,
+    blocks: int = 256,
 ) -> DataFrame:
     """Number rows from 1 by (group, order); `order` is an integer unique per group.
 
-    Blocks are ranges of `width` order values, so no block exceeds `width` rows
-    however uneven the groups are. `places` may hold the same (group, order)
-    rows where they are cheaper to get for counting.
+    Each group is cut at approximate quantiles into at most `blocks` blocks of
+    about equal size, however sparse or uneven its order values are. `places`
+    may hold the same (group, order) rows where they are cheaper to get for
+    counting. Groups are few (lists), and their bounds are broadcast.
     """
     keys = [group, "_block"]
-    block = F.floor(F.col(order) / width).alias("_block")
-    places = (df if places is None else places).select(group, block)
-    offsets = preceding(places.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
+    places = (df if places is None else places).select(group, order)
+    shares = [k / blocks for k in range(1, blocks)]
+    bounds = F.broadcast(places.groupBy(group).agg(F.percentile_approx(order, shares, 10_000).alias("_bounds")))
+    block = F.size(F.filter("_bounds", lambda b: b <= F.col(order))).alias("_block")
+    counted = places.join(bounds, group).select(group, block).groupBy(*keys).agg(F.count("*").alias("_n"))
+    offsets = preceding(counted, keys)
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     return (
-        df.withColumn("_block", block).join(offsets.drop("_n"), keys)
+        df.join(bounds, group).withColumn("_block", block).drop("_bounds").join(offsets.drop("_n"), keys)
         .withColumn(name, (inside + F.col("_offset")).cast("long"))
         .drop("_block", "_offset")
     )

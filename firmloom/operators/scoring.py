@@ -19,13 +19,14 @@ def exact_member(members: Column, name: Column) -> Column:
 
 
 def score_candidates(sets: DataFrame, top_k: int = 3) -> DataFrame:
-    """Adds `exact` (a candidate or null) and `top`, the best candidates by score.
+    """Adds `top`, the best candidates by score, and `exact` (a candidate or null) if missing.
 
     Candidates are scored only where no exact one exists. `top` is ordered by
     combined score, then register order; candidates with a blank name are out.
     """
     name = F.col("name_clean")
-    sets = sets.withColumn("exact", exact_member(F.col("members"), name))
+    if "exact" not in sets.columns:
+        sets = sets.withColumn("exact", exact_member(F.col("members"), name))
     sets = sets.withColumn(
         "_open",
         F.when(

@@ -60,7 +60,8 @@ def match_table(
     review: float = REVIEW_THRESHOLD,
     volume: Volume | None = None,
 ) -> DataFrame:
-    """Every source with its exact match, best candidates, score and status.
+    """Every source with its exact match, best candidates, score and status, and whether
+    its block held more rows than are scored (`block_cut`).
 
     Equal (name, country) pairs are scored once. Write this table before
     deriving several results from it; each derivation would compute it again.
@@ -68,7 +69,7 @@ def match_table(
     prepared = prepare_sources(sources)
     volume = volume or measure(prepared.select(*SOURCE))
     sets = candidate_sets(prepared, prepare_entities(entities), rules, volume)
-    scored = score_candidates(sets, top_k).select(*SOURCE, "block_level", "exact", "top")
+    scored = score_candidates(sets, top_k).select(*SOURCE, "block_level", "block_cut", "exact", "top")
     if volume.broadcastable:
         joined = prepared.join(scored, SOURCE, "left")
     else:

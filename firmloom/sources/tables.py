@@ -10,16 +10,18 @@ from firmloom.operators.ordinals import file_ordinal
 
 
 def read_register(
-    spark: SparkSession, path: str, columns: list[str] | None = None, fmt: str | None = None
+    spark: SparkSession, path: str, columns: list[str] | None = None, fmt: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A stored register table with null strings as empty strings.
 
     `fmt` is parquet or csv; without it the path's ending decides. Only the
-    requested columns are read. CSV columns are all strings.
+    requested columns are read. CSV columns are all strings; `multi_line` admits
+    line breaks inside cells at the price of one task per file.
     """
     fmt = fmt or ("csv" if path.rstrip("/").endswith((".csv", ".csv.gz")) else "parquet")
     if fmt == "csv":
-        df = spark.read.csv(path, header=True, escape='"')
+        df = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
     else:
         df = spark.read.format(fmt).load(path)
     df = df.select(*(columns or df.columns))
@@ -43,9 +45,14 @@ def read_member_list(
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Write Parquet (snappy) or CSV with a header; an empty table keeps its columns."""
+    """Write Parquet (snappy) or CSV with a header; an empty table keeps its columns.
+
+    CSV cells keep spaces, quotes, backslashes and line breaks.
+    """
     if fmt == "csv":
-        df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+        df.write.mode(mode).csv(
+            path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     else:
         df.write.mode(mode).option("compression", "snappy").format(fmt).save(path)
 

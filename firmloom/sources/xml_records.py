@@ -86,9 +86,10 @@ def read_header(
 ) -> DataFrame:
     """One row per file: leaf texts of its first header element."""
     leaf = _header_leaf(F.col("value"), header, list(fields))
+    # a header stands in front of the records, so only first splits are looked at
     found = (
         _fragments(spark, path, tag, header)
-        .where(F.col("value").contains(f"{header}>"))
+        .where((F.col(START) == 0) & F.col("value").contains(f"{header}>"))
         .withColumn("_leaf", leaf)
     )
     columns = [text_or_null(F.try_element_at(F.col("_leaf")[f], F.lit(-1))).alias(f) for f in fields]
@@ -109,7 +110,7 @@ def snapshot_date(
 def _records(spark: SparkSession, path: str, tag: str, header: str, schema: str) -> DataFrame:
     """Parsed records with ordinal, snapshot date and file; bad ones included."""
     scan = _fragments(spark, path, tag, header)
-    date = F.get(_header_leaf(F.col("value"), header, ["ContentDate"])["ContentDate"], F.lit(0))
+    date = F.try_element_at(_header_leaf(F.col("value"), header, ["ContentDate"])["ContentDate"], F.lit(-1))
     # one pass over the text gives both the split offsets and the header date
     blocks = scan.groupBy(FILE, START).agg(
         F.count_if("_is_record").alias("_n"),
@@ -135,15 +136,41 @@ def _records(spark: SparkSession, path: str, tag: str, header: str, schema: str)
     )
 
 
-def _sound(records: DataFrame) -> DataFrame:
-    return records.where(F.col(f"_record.{_BROKEN}").isNull())
+def count_unclosed(spark: SparkSession, path: str, tag: str = ENTITY_TAG) -> int:
+    """Records that are opened and never closed, as at the end of a truncated file.
+
+    One counting pass; such a record has no row and no number.
+    """
+    text = spark.read.option("lineSep", f"{tag}>").text(path)
+    opened = F.col("value").rlike(f"<{_PREFIX}$").cast("int") + F.col("value").rlike(
+        rf"<{_PREFIX}{tag}\s"
+    ).cast("int")
+    closed = F.col("value").rlike(f"</{_PREFIX}$").cast("int")
+    return max(0, text.agg(F.sum(opened - closed)).first()[0] or 0)
+
+
+def _sound(records: DataFrame, on_bad: str, path: str, tag: str) -> DataFrame:
+    """Readable records. With `on_bad` "fail", a bad one stops the job and an unclosed one the call."""
+    broken = F.col(f"_record.{_BROKEN}")
+    if on_bad == "skip":
+        return records.where(broken.isNull())
+    if on_bad != "fail":
+        raise ValueError(f"on_bad must be skip or fail, not {on_bad}")
+    if unclosed := count_unclosed(records.sparkSession, path, tag):
+        raise ValueError(f"{unclosed} {tag} records in {path} are not closed")
+    stop = F.raise_error(F.concat(F.lit("unreadable record: "), F.substring(broken, 1, 200)))
+    return records.where(F.when(broken.isNull(), True).otherwise(stop.cast("boolean")))
 
 
 def read_entities_xml(
-    spark: SparkSession, path: str, tag: str = ENTITY_TAG, header: str = ENTITY_HEADER
+    spark: SparkSession, path: str, tag: str = ENTITY_TAG, header: str = ENTITY_HEADER,
+    on_bad: str = "skip",
 ) -> DataFrame:
-    """Legal entities with cleaned names, one row per record."""
-    rows = _sound(_records(spark, path, tag, header, _ENTITY)).select(
+    """Legal entities with cleaned names, one row per record.
+
+    Bad records are left out (`parse_counters` counts them), or stop the job with `on_bad` "fail".
+    """
+    rows = _sound(_records(spark, path, tag, header, _ENTITY), on_bad, path, tag).select(
         "row_id",
         _first("LEI").alias("lei"),
         _first("Entity.LegalName").alias("legal_name"),
@@ -177,10 +204,11 @@ def first_period(field: str) -> Column:
 
 
 def read_relationships_xml(
-    spark: SparkSession, path: str, tag: str = RELATION_TAG, header: str = RELATION_HEADER
+    spark: SparkSession, path: str, tag: str = RELATION_TAG, header: str = RELATION_HEADER,
+    on_bad: str = "skip",
 ) -> DataFrame:
     """Parent and child per relationship; the start node is the child."""
-    return _sound(_records(spark, path, tag, header, _RELATION)).select(
+    return _sound(_records(spark, path, tag, header, _RELATION), on_bad, path, tag).select(
         "row_id",
         _first("Relationship.EndNode.NodeID").alias("parent_lei"),
         _first("Relationship.StartNode.NodeID").alias("child_lei"),
@@ -199,11 +227,12 @@ def read_exceptions_xml(
     path: str | None,
     tag: str = EXCEPTION_TAG,
     header: str = EXCEPTION_HEADER,
+    on_bad: str = "skip",
 ) -> DataFrame | None:
     """Reporting exceptions; without a path there is nothing to read."""
     if path is None:
         return None
-    return _sound(_records(spark, path, tag, header, _EXCEPTION)).select(
+    return _sound(_records(spark, path, tag, header, _EXCEPTION), on_bad, path, tag).select(
         "row_id",
         _first("LEI").alias("lei"),
         _first("ExceptionCategory").alias("exception_category"),
@@ -221,11 +250,19 @@ _HEADERS = {
 
 
 def parse_counters(spark: SparkSession, path: str, tag: str = ENTITY_TAG) -> DataFrame:
-    """One row: records seen, written and skipped as unreadable."""
+    """One row: records seen, written, and skipped as unreadable or not closed."""
     records = _records(spark, path, tag, _HEADERS[tag], _SCHEMAS[tag])
     broken = F.col(f"_record.{_BROKEN}").isNotNull()
+    unclosed = count_unclosed(spark, path, tag)
     return records.agg(
-        F.count("*").alias("rows_seen"),
+        (F.count("*") + unclosed).alias("rows_seen"),
         F.count_if(~broken).alias("rows_written"),
-        F.count_if(broken).alias("skipped_rows"),
+        (F.count_if(broken) + unclosed).alias("skipped_rows"),
     )
+
+
+def bad_records(spark: SparkSession, path: str, tag: str = ENTITY_TAG, n: int = 20) -> DataFrame:
+    """The first n unreadable records with number, file and text."""
+    records = _records(spark, path, tag, _HEADERS[tag], _SCHEMAS[tag])
+    text = F.col(f"_record.{_BROKEN}")
+    return records.where(text.isNotNull()).select("row_id", "source_file", text.alias("record")).orderBy("row_id").limit(n)

@@ -15,19 +15,31 @@ SENTENCE_BREAK = r"[.\n|]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; one that comes in fewer pieces than there are cores is dealt out.
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    The small test tables are one row group each, which a single task would
-    read and then clean alone. Larger tables bring enough pieces of their own.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+# A text has fewer pieces than this, whatever its length.
+PIECES = 1 << 31
+
+
+def place(number: str) -> Column:
+    """Ordinal of a piece of a row: rows in order of `number`, pieces by position."""
+    return F.col(number) * PIECES + F.col("pos")
+
+
+def talk_place() -> Column:
+    """Ordinal of a piece of a turn; what the packing cannot hold is an error."""
+    fits = (F.col("turn") >= 0) & (F.col("turn") < 1 << 12) & (F.col("pos") < 1 << 24)
+    packed = (F.col("conv_id") * (1 << 12) + F.col("turn")) * (1 << 24) + F.col("pos")
+    wrong = F.raise_error(F.lit("more turns or sentences than an ordinal holds")).cast("long")
+    return F.when(fits, packed).otherwise(wrong)
 
 
 def code(prefix: str, number: Column | str) -> Column:
-    number = F.col(number) if isinstance(number, str) else number
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 9, "0"))
+    """Prefix and number, shorter numbers filled up to nine digits."""
+    number = (F.col(number) if isinstance(number, str) else number).cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(number) < 9, F.lpad(number, 9, "0")).otherwise(number))
 
 
 def entity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +103,7 @@ def text_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register whose names are all sentences of all documents."""
     rows = sentences(table(spark, sf_dir, "documents"), "text", "doc_id", "lang")
     return rows.select(
-        (F.col("doc_id") * 100000 + F.col("pos") + 1).alias("row_id"),
+        (place("doc_id") + 1).alias("row_id"),
         F.concat_ws("-", F.lit("D"), "doc_id", "pos").alias("lei"),
         F.col("sentence").alias("legal_name"),
         clean_name("sentence").alias("legal_name_clean"),
@@ -114,7 +126,7 @@ def base_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base company list: all sentences of all documents."""
     rows = sentences(table(spark, sf_dir, "documents"), "text", "doc_id", "lang", "source")
     return rows.select(
-        (F.col("doc_id") * 100000 + F.col("pos")).alias("ordinal"),
+        place("doc_id").alias("ordinal"),
         F.col("sentence").alias("Company Name"),
         F.col("lang").alias("Country"),
         F.col("source").alias("Industry (main)"),
@@ -128,12 +140,12 @@ def member_lists(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     pages = table(spark, sf_dir, "pages")
     return [
         talk.select(
-            (F.col("conv_id") * 100000000 + F.col("turn") * 100000 + F.col("pos")).alias("ordinal"),
+            talk_place().alias("ordinal"),
             F.col("sentence").alias("Member name"),
             F.col("role").alias("Sector"),
         ),
         facts.select(
-            (F.col("item_id") * 100000 + F.col("pos")).alias("ordinal"),
+            place("item_id").alias("ordinal"),
             F.col("sentence").alias("Organization"),
         ),
         pages.select(
@@ -190,11 +202,15 @@ def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviewed samples: all documents with their labels; mixed case, padding, blanks."""
     doc, mark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    rows = doc.select("doc_id").join(mark, "doc_id", "left")
+    rows = doc.select("doc_id", "source", "lang", "n_chars").join(mark, "doc_id", "left")
     third = F.col("doc_id") % 3
     return rows.select(
         F.when(third == 0, "auto").when(third == 1, "Review").otherwise("unmatched ").alias("sample_group"),
         code("S", "doc_id").alias("source_id"),
+        F.col("source").alias("source_name_raw"),
+        code("E", "doc_id").alias("matched_lei"),
+        F.col("lang").alias("matched_legal_name"),
+        F.col("n_chars").cast("double").alias("match_score"),
         F.when(F.col("quality").isNull(), "").when(F.col("toxic") == 1, "uncertain")
         .when(F.col("quality") == 1, " Correct ").otherwise("INCORRECT").alias("label"),
         F.when(F.col("quality").isNull() | (F.col("doc_id") % 6 == 0), "")

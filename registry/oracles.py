@@ -8,9 +8,36 @@ from __future__ import annotations
 
 import re
 
-from firmloom.functions.names import LEADING_FORMS, TRAILING_FORMS
-from firmloom.functions.text import NA_TOKENS
-from firmloom.sources.lists import BASE_SPEC, MEMBER_SPECS
+from dataclasses import dataclass
+
+# Fixed values, stated here anew so that a wrong entry in the package shows.
+LEADING_FORMS = ("pt",)
+TRAILING_FORMS = (
+    "inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "llc", "plc",
+    "lp", "llp", "gmbh", "ag", "nv", "bv", "sa", "spa", "pte", "pt", "tbk", "s a", "s p a",
+)
+NA_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+@dataclass(frozen=True)
+class Spec:
+    flag: str
+    label: str
+    note: str
+
+
+BASE_SPEC = Spec("has_sbti", "SBTi", "Primary source: SBTi company dataset")
+MEMBER_SPECS = (
+    Spec(
+        "has_re100", "RE100 manual list",
+        "Manual initiative source: RE100; RE100 file indicates a partial first100 subset",
+    ),
+    Spec("has_ev100", "EV100 manual list", "Manual initiative source: EV100"),
+    Spec("has_ep100", "EP100 manual list", "Manual initiative source: EP100"),
+)
 
 ACCESSED = "2026-01-31"
 
@@ -30,7 +57,7 @@ def clean(x: str) -> str:
 
 
 def code(prefix: str, x: str) -> str:
-    return f"concat('{prefix}', lpad(cast({x} as varchar), 9, '0'))"
+    return f"concat('{prefix}', case when length(cast({x} as varchar)) < 9 then lpad(cast({x} as varchar), 9, '0') else cast({x} as varchar) end)"
 
 
 def sentences(table: str, text: str, columns: str) -> str:
@@ -69,7 +96,7 @@ CTES: dict[str, str] = {
                     else concat('Land ', p_partkey % 5) end as source_country
         from part""",
     "text_entity": f"""
-        select doc_id * 100000 + pos + 1 as row_id, concat('D-', doc_id, '-', pos) as lei,
+        select doc_id * 2147483648 + pos + 1 as row_id, concat('D-', doc_id, '-', pos) as lei,
                sentence as legal_name, {clean('sentence')} as legal_name_clean,
                upper(lang) as country
         from ({sentences('documents', 'text', 'doc_id, lang')}) d""",
@@ -103,20 +130,23 @@ CTES: dict[str, str] = {
         select 4, '', ch, name, c from named union all
         select 5, c, '', name, c from named where c <> '' union all
         select 6, '', '', name, c from named""",
+    "ent_keys": "select distinct lvl, kc, kn from ent_key",
     "placed": """
-        select name, c, min(lvl) as lvl from src_key
-        where (lvl, kc, kn) in (select distinct lvl, kc, kn from ent_key) group by name, c""",
+        select s.name, s.c, min(s.lvl) as lvl from src_key s
+        join ent_keys e on e.lvl = s.lvl and e.kc = s.kc and e.kn = s.kn group by s.name, s.c""",
+    "block_size": "select lvl, kc, kn, count(*) as n from ent_key group by lvl, kc, kn",
     "block": """
         select * from (select *, row_number() over (partition by lvl, kc, kn order by row_id) as rn
                        from ent_key) e where rn <= 50""",
     "cand": """
-        select p.name, p.c, p.lvl, b.row_id, b.lei, b.legal_name, b.name as other
+        select p.name, p.c, p.lvl, b.row_id, b.lei, b.legal_name, b.name as other, k.kc, k.kn
         from placed p join src_key k on p.name = k.name and p.c = k.c and p.lvl = k.lvl
         join block b on b.lvl = k.lvl and b.kc = k.kc and b.kn = k.kn""",
     "exact": """
-        select name, c, arg_min(lei, row_id) as lei, arg_min(legal_name, row_id) as legal_name,
-               arg_min(other, row_id) as other
-        from cand where other = name group by name, c""",
+        select p.name, p.c, arg_min(e.lei, e.row_id) as lei,
+               arg_min(e.legal_name, e.row_id) as legal_name, arg_min(e.name, e.row_id) as other
+        from placed p join ent e on e.name = p.name and (p.lvl not in (1, 2, 5) or e.c = p.c)
+        group by p.name, p.c""",
     "open": """
         select * from cand where other <> '' and (name, c) not in (select name, c from exact)""",
     "pair": "select distinct name, other from open",
@@ -204,17 +234,17 @@ CTES |= {
         left join (select * from ranked where rank = 1) f on f.name = s.name and f.c = s.c""",
     # company list
     "base": f"""
-        select doc_id * 100000 + pos as ordinal, trim(sentence) as nm, {clean('sentence')} as cl,
+        select doc_id * 2147483648 + pos as ordinal, trim(sentence) as nm, {clean('sentence')} as cl,
                lang as country, lower(lang) as cn, source as sector, '' as url
         from ({sentences('documents', 'text', 'doc_id, lang, source')}) d
         where trim(sentence) <> ''""",
     "incoming_raw": f"""
-        select 1 as list_no, conv_id * 100000000 + turn * 100000 + pos as ordinal,
+        select 1 as list_no, (conv_id * 4096 + turn) * 16777216 + pos as ordinal,
                trim(sentence) as nm, {clean('sentence')} as cl, '' as country, role as sector,
                '' as url
         from ({sentences('conversations', 'text', 'conv_id, turn, role')}) d
         union all
-        select 2, item_id * 100000 + pos, trim(sentence), {clean('sentence')}, '', '', ''
+        select 2, item_id * 2147483648 + pos, trim(sentence), {clean('sentence')}, '', '', ''
         from ({sentences('benchmark', 'text', 'item_id')}) d
         union all
         select 3, page_id, trim(title), {clean('title')}, lang, '', url from title""",
@@ -310,7 +340,10 @@ CTES |= {
                     else 'unmatched' end as match_status
         from documents""",
     "sample": """
-        select lower(match_status) as sample_group, * from crosswalk
+        select lower(match_status) as sample_group, source_id, source_name_raw, source_name_clean,
+               matched_lei, matched_legal_name, round(match_score, 6) as match_score, score_type,
+               match_status, blocking_keys
+        from walk
         qualify row_number() over (partition by lower(match_status)
                                    order by md5(concat('42|', source_id)), source_id) <= 100""",
     "label": f"""
@@ -323,8 +356,12 @@ CTES |= {
     "latest": "select cast(cast(max(o_orderdate) as date) as varchar) as d from orders",
     "numbered_item": """
         select row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                                  l_shipdate, l_returnflag, l_linestatus) as row_id, *
+                                  l_shipdate, l_returnflag, l_linestatus, l_quantity) as row_id, *
         from lineitem""",
+    "read_item": """
+        select *, case when l_linenumber > 1 and l_linenumber % 3 = 0
+                       then cast(cast(l_shipdate as date) + 10 as varchar) end as end_date
+        from numbered_item where not (l_linenumber = 7 and l_quantity = 50)""",
     "checks": """
         select 'duplicate_leis_in_entities' as metric, count(*) - count(distinct lei) as value
         from (select lei from checked) e
@@ -350,7 +387,7 @@ def sql(body: str, own: dict[str, str] | None = None) -> str:
     visit(body, ())
     if not done:
         return body
-    return "with recursive " + ",\n".join(f"{n} as ({known[n]})" for n in done) + "\n" + body
+    return "with recursive " + ",\n".join(f"{n} as {'' if n == 'lcs' else 'materialized '}({known[n]})" for n in done) + "\n" + body
 
 
 PART_PAIR = {
@@ -376,6 +413,10 @@ WALK = (
     "matched_legal_name_clean, round(match_score, 6) as match_score, score_type, match_method, "
     "match_status, blocking_keys, notes"
 )
+EXACT_IN_CAP = """
+    select name, c, arg_min(lei, row_id) as lei, arg_min(legal_name, row_id) as legal_name,
+           arg_min(other, row_id) as other
+    from cand where other = name group by name, c"""
 TITLES = {
     "entity": CTES["text_entity"],
     "source": CTES["title_source"],
@@ -404,28 +445,33 @@ ORACLES: dict[str, str] = {
                l_linestatus as relationship_status,
                case when l_linenumber > 1 then cast(cast(l_shipdate as date) as varchar) end
                    as start_date,
-               cast(null as varchar) as end_date,
+               end_date,
                case when l_linenumber > 1 then 'FIRST' end as period_type,
                (select d from latest) as source_snapshot_date
-        from numbered_item"""),
+        from read_item"""),
     "first_period": sql("""
         select row_id, case when l_linenumber > 1 then cast(cast(l_shipdate as date) as varchar) end
                    as start_date,
-               cast(null as varchar) as end_date,
+               end_date,
                case when l_linenumber > 1 then 'FIRST' end as period_type
-        from numbered_item"""),
+        from read_item"""),
     "read_exceptions_xml": sql(f"""
         select row_number() over (order by event_id) as row_id, {code('E', 'user_id')} as lei,
                upper(event_type) as exception_category, props as exception_reason,
-               cast(null as varchar) as next_version, (select d from latest) as source_snapshot_date
+               case when event_id % 4 = 0 then concat('v', event_id % 9) end as next_version, (select d from latest) as source_snapshot_date
         from events"""),
     "snapshot_date": sql("""
-        select d as "ContentDate", 'FULL' as "FileContent", 4 as files from latest"""),
+        select d as "ContentDate", 'FULL' as "FileContent" from latest"""),
     "parse_counters": """
-        select count(*) as rows_seen, count(*) as rows_written, 0 as skipped_rows from lineitem""",
+        select count(*) as rows_seen, count(*) - count_if(l_linenumber = 7 and l_quantity = 50) as rows_written,
+               count_if(l_linenumber = 7 and l_quantity = 50) as skipped_rows from lineitem""",
     "read_register": sql("""
         select row_id, lei, legal_name_clean, coalesce(country, '') as country from entity"""),
     "read_register_csv": sql(ENTITY_CSV),
+    "csv_round_trip": """
+        select cast(doc_id as varchar) as doc_id,
+               concat(chr(9), '  ', coalesce(text, ''), ' "q", \\', chr(10), ' ') as text
+        from documents""",
     "read_member_list": sql("""
         select row_number() over (order by page_id) as ordinal, trim(title) as name,
                lang as hq_location, url as web_link from title"""),
@@ -440,7 +486,7 @@ ORACLES: dict[str, str] = {
                cast(nullif(regexp_extract(trim(start_date), '^([0-9]{4})', 1), '') as int) as year,
                count(*) as n from relation group by 1, 2"""),
     "standard_header": f"""
-        select doc_id * 100000 + pos as ordinal, sentence as company_name, lang as country,
+        select doc_id * 2147483648 + pos as ordinal, sentence as company_name, lang as country,
                source as industry_main
         from ({sentences('documents', 'text', 'doc_id, lang, source')}) d""",
     "pick_columns": sql("""
@@ -475,18 +521,20 @@ ORACLES: dict[str, str] = {
     "to_edges": sql("select * from edge"),
     "nonblank_key": sql("select row_id, lei from ent"),
     "nonblank_name": f"""
-        select doc_id * 100000 + pos as ordinal, sentence as name
+        select doc_id * 2147483648 + pos as ordinal, sentence as name
         from ({sentences('documents', 'text', 'doc_id')}) d where trim(sentence) <> ''""",
     "nonblank_endpoints": sql("select * from full_edge"),
     "without_self_edges": sql("select * from edge where firm_i <> firm_j"),
     "match_crosswalk": sql(f"select {WALK} from walk"),
     "match_page_titles": sql(f"select {WALK} from walk", TITLES),
+    "match_crosswalk_capped": sql(f"select {WALK} from walk", {"exact": EXACT_IN_CAP}),
     "block_candidates": sql("""
-        select name as name_clean, c as country_norm, lvl as block_level, row_id, lei,
-               other as legal_name_clean from cand"""),
+        select k.name as name_clean, k.c as country_norm, k.lvl as block_level, z.n > 50 as block_cut,
+               row_id, lei, legal_name, other as legal_name_clean
+        from cand k join block_size z on z.lvl = k.lvl and z.kc = k.kc and z.kn = k.kn"""),
     "cap_block": sql("""
         select lvl as block_level, kc as block_country, kn as block_name, row_id from block
-        where lvl = 3"""),
+        where lvl = 6 or ((lvl in (3, 4) or kc <> '') and (lvl = 5 or kn <> ''))"""),
     "exact_match": sql("""
         select source_id, matched_lei, matched_legal_name_clean, match_score, score_type,
                match_status from walk where match_method = 'exact'"""),
@@ -541,10 +589,10 @@ ORACLES: dict[str, str] = {
         select ordinal, nm as source_name, cl as source_name_clean, cn as source_country_norm
         from unique_base"""),
     "merge_membership": sql(
-        """select list_no, ordinal, nm as source_name, cl as source_name_clean,
+        f"""select list_no, ordinal, nm as source_name, cl as source_name_clean,
                country as source_country, cn as source_country_norm, sector as source_sector,
-               notes as source_notes, has_sbti, has_re100, has_ev100, has_ep100 from merged""",
-        {"incoming_raw": CTES["incoming_raw"].split("union all")[0]},
+               notes as source_notes, has_sbti, has_re100, has_ev100, has_ep100, url as source_url,
+               '{ACCESSED}' as source_accessed_date from merged"""
     ),
     "merge_counts": sql(f"""
         select case list_no {" ".join(f"when {k} then '{s.flag}'" for k, s in enumerate(MEMBER_SPECS, 1))}
@@ -639,16 +687,16 @@ ORACLES["all_run_metrics"] = sql(
     union all select 'nodes_rows', count(*) from customer
     union all select 'edges_rows', count(*) from edge
     union all select metric, value from checks
-    union all select 'n_source', count(*) from crosswalk
-    union all select 'n_auto', count_if(match_status = 'auto') from crosswalk
-    union all select 'n_review', count_if(match_status = 'review') from crosswalk
-    union all select 'n_unmatched', count_if(match_status = 'unmatched') from crosswalk
-    union all select 'overall_auto_rate', count_if(match_status = 'auto') / count(*)::double from crosswalk
-    union all select 'match_score_min', min(match_score) from crosswalk
-    union all select 'match_score_p25', quantile_cont(match_score, 0.25) from crosswalk
-    union all select 'match_score_median', quantile_cont(match_score, 0.5) from crosswalk
-    union all select 'match_score_p75', quantile_cont(match_score, 0.75) from crosswalk
-    union all select 'match_score_max', max(match_score) from crosswalk
+    union all select 'n_source', count(*) from walk
+    union all select 'n_auto', count_if(match_status = 'auto') from walk
+    union all select 'n_review', count_if(match_status = 'review') from walk
+    union all select 'n_unmatched', count_if(match_status = 'unmatched') from walk
+    union all select 'overall_auto_rate', count_if(match_status = 'auto') / count(*)::double from walk
+    union all select 'match_score_min', min(match_score) from walk
+    union all select 'match_score_p25', quantile_cont(match_score, 0.25) from walk
+    union all select 'match_score_median', quantile_cont(match_score, 0.5) from walk
+    union all select 'match_score_p75', quantile_cont(match_score, 0.75) from walk
+    union all select 'match_score_max', max(match_score) from walk
     union all select metric, value from ({BUILD_ROWS}) b) m""",
     {"checked": "select lei from node"},
 )

@@ -65,7 +65,7 @@ def read_exceptions_xml(spark, sf_dir):
 def snapshot_date(spark, sf_dir):
     path = xml_files.entities(spark, sf_dir)
     header = xml_records.read_header(spark, path, fields=("ContentDate", "FileContent"))
-    return header.groupBy("ContentDate", "FileContent").agg(F.count("*").alias("files"))
+    return header.select("ContentDate", "FileContent").distinct()
 
 
 @query
@@ -88,10 +88,20 @@ def read_register_csv(spark, sf_dir):
     return tables.read_register(spark, path, ["lei", "legal_name", "country"], "csv")
 
 
+@query
+def csv_round_trip(spark, sf_dir):
+    """Texts with spaces, tabs, quotes, commas, backslashes and line breaks, written and read as CSV."""
+    path = scratch_path(spark, "texts")
+    odd = F.concat(F.lit("\t  "), F.coalesce("text", F.lit("")), F.lit(' "q", \\\n '))
+    docs = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), odd.alias("text"))
+    tables.write_table(docs, path, "csv")
+    return tables.read_register(spark, path, ["doc_id", "text"], "csv", multi_line=True)
+
+
 @query
 def read_member_list(spark, sf_dir):
     path = scratch_path(spark, "list")
-    rows = fx.member_lists(spark, sf_dir)[2].repartitionByRange(3, "ordinal").sortWithinPartitions("ordinal")
+    rows = fx.member_lists(spark, sf_dir)[2].repartitionByRange("ordinal").sortWithinPartitions("ordinal")
     tables.write_table(rows.drop("ordinal"), path, "csv")
     read = tables.read_member_list(spark, path)
     return lists.standard_headers(read)
@@ -198,8 +208,8 @@ def blocking_label(spark, sf_dir):
 @query
 def row_id(spark, sf_dir):
     path = scratch_path(spark, "documents")
-    rows = fx.table(spark, sf_dir, "documents").drop("source")
-    rows.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    rows = fx.table(spark, sf_dir, "documents")
+    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.parquet(path)
     return file_ordinal(spark.read.parquet(path)).select("row_id", "doc_id")
 
 
@@ -208,7 +218,7 @@ def surrogate_ids(spark, sf_dir):
     rows = fx.table(spark, sf_dir, "lineitem").select(
         F.col("l_linenumber").alias("list_no"), (F.col("l_orderkey") * 3).alias("ordinal")
     ).groupBy("list_no", "ordinal").agg(F.count("*").alias("n"))
-    numbered = dense_ordinal(rows, "list_no", "ordinal", "place", width=1000)
+    numbered = dense_ordinal(rows, "list_no", "ordinal", "place", blocks=64)
     return numbered.select("list_no", "ordinal", surrogate_id("place").alias("source_id"))
 
 
@@ -265,6 +275,14 @@ def match_crosswalk(spark, sf_dir):
     return _walk(spark, sf_dir)
 
 
+@query
+def match_crosswalk_capped(spark, sf_dir):
+    """Exact test, too, only among the scored rows of a block."""
+    rules = blocking.BlockingRules(exact_in_cap=True)
+    found = match.match_table(fx.source(spark, sf_dir), fx.entity(spark, sf_dir), rules)
+    return rounded(match.crosswalk(found), "match_score")
+
+
 @query
 def match_page_titles(spark, sf_dir):
     found = match.match_table(fx.title_source(spark, sf_dir), fx.text_entity(spark, sf_dir))
@@ -276,18 +294,16 @@ def block_candidates(spark, sf_dir):
     return blocking.block_candidates(
         match.prepare_sources(fx.source(spark, sf_dir)),
         match.prepare_entities(fx.entity(spark, sf_dir)),
-    ).drop("legal_name")
+    )
 
 
 @query
 def cap_block(spark, sf_dir):
-    keyed = match.prepare_entities(fx.entity(spark, sf_dir)).select(
-        F.lit(3).alias("block_level"),
-        F.lit("").alias("block_country"),
-        blocking.first_token("legal_name_clean").alias("block_name"),
-        "row_id",
+    entities = match.prepare_entities(fx.entity(spark, sf_dir))
+    keyed = blocking.with_keys(
+        entities, [*blocking.BlockingRules().levels(), blocking.ALL_ROWS], "country_norm", "legal_name_clean"
     )
-    return blocking.cap_block(keyed, 50)
+    return blocking.cap_block(keyed.select(*blocking.BLOCK, "row_id"), 50)
 
 
 @query
@@ -327,7 +343,7 @@ def empty_name_source(spark, sf_dir):
 def _pairs(spark, sf_dir):
     source = match.prepare_sources(fx.source(spark, sf_dir))
     entity = fx.entity(spark, sf_dir).select(
-        F.concat(F.lit("S"), F.lpad((F.col("row_id") - 1).cast("string"), 9, "0")).alias("source_id"),
+        fx.code("S", F.col("row_id") - 1).alias("source_id"),
         "legal_name_clean",
     )
     return source.join(entity, "source_id")
@@ -408,8 +424,7 @@ def dedupe_keep_first(spark, sf_dir):
 
 @query
 def merge_membership(spark, sf_dir):
-    rows = _merge(spark, sf_dir, 1).rows
-    return rows.drop("source_accessed_date", "source_url")
+    return _merge(spark, sf_dir, 3).rows
 
 
 @query
@@ -538,12 +553,12 @@ def head_sample(spark, sf_dir):
 
 @query
 def sample_per_group(spark, sf_dir):
-    return review_samples(fx.crosswalk(spark, sf_dir))[0]
+    return review_samples(_walk(spark, sf_dir))[0]
 
 
 @query
 def label_template(spark, sf_dir):
-    return review_samples(fx.crosswalk(spark, sf_dir))[1]
+    return review_samples(_walk(spark, sf_dir))[1]
 
 
 @query
@@ -578,7 +593,7 @@ def all_run_metrics(spark, sf_dir):
     relation = fx.relation(spark, sf_dir)
     entity = fx.node_entity(spark, sf_dir)
     nodes, edges = build_network(entity, relation)
-    walk = fx.crosswalk(spark, sf_dir)
+    walk = match.crosswalk(_matches(spark, sf_dir))
     build = source_list.build_counts(*_list_inputs(spark, sf_dir), ACCESSED)
     metrics = run_metrics(entity, relation, nodes, edges, walk, build)
     return rounded(metrics, "value")

@@ -24,7 +24,7 @@ def _write(rows: DataFrame, order: list[str], record: Column, header: str, date:
     """Sorted files, each opening with its own header in front of the first record."""
     spark = rows.sparkSession
     path = scratch_path(spark, name)
-    ordered = rows.repartitionByRange(4, *order).sortWithinPartitions(*order)
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     head = (
         f'<?xml version="1.0"?>\n<x:Data xmlns:x="urn:x"><{header}><x:ContentDate>{date}'
         f"</x:ContentDate><x:FileContent>FULL</x:FileContent></{header}>\n"
@@ -62,12 +62,12 @@ def entities(spark: SparkSession, sf_dir: str) -> str:
 
 
 def relations(spark: SparkSession, sf_dir: str) -> str:
-    """Relationships of all line items, with none, one or two periods."""
+    """Relationships of all line items, with none, one or two periods, and some bad records."""
     rows = fx.table(spark, sf_dir, "lineitem")
     # order numbers repeat, so everything a record shows takes part in the order
     order = [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag",
-        "l_linestatus",
+        "l_linestatus", "l_quantity",
     ]
     ship = F.col("l_shipdate").cast("date")
 
@@ -76,6 +76,7 @@ def relations(spark: SparkSession, sf_dir: str) -> str:
             "y:RelationshipPeriod",
             F.concat(
                 _element("y:StartDate", start.cast("string")),
+                _element("y:EndDate", F.when(F.col("l_linenumber") % 3 == 0, F.date_add(start, 10).cast("string"))),
                 _element("y:PeriodType", F.lit(kind)),
             ),
         )
@@ -95,6 +96,8 @@ def relations(spark: SparkSession, sf_dir: str) -> str:
                 F.concat(period(ship, "FIRST"), period(F.date_add(ship, 30), "SECOND")),
             )
         ),
+        # some records are not well formed
+        F.when((number == 7) & (F.col("l_quantity") == 50), "<y:Open>").otherwise(""),
         F.lit("</y:Relationship></y:RelationshipRecord>"),
     )
     return _write(rows, order, record, "y:Header", latest_order(spark, sf_dir), "relations")
@@ -108,6 +111,7 @@ def exceptions(spark: SparkSession, sf_dir: str) -> str:
         _element("LEI", fx.code("E", "user_id")),
         _element("ExceptionCategory", _escape(F.upper("event_type"))),
         _element("ExceptionReason", _escape(F.col("props"))),
+        _element("NextVersion", F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("v"), F.col("event_id") % 9))),
         F.lit("</Exception>"),
     )
     return _write(rows, ["event_id"], record, "Header", latest_order(spark, sf_dir), "exceptions")

@@ -28,8 +28,8 @@ def loop_match(sources, entities, rules, top_k=3):
             (True, lambda e: True),
         ]
         block = next(b for b in ([e for e in live if test(e)] if on else [] for on, test in tests) if b)
+        same = [e for e in (block[: rules.max_candidates] if rules.exact_in_cap else block) if e[2] == clean]
         block = block[: rules.max_candidates]
-        same = [e for e in block if e[2] == clean]
         if same:
             out[sid] = ("exact", "auto", same[0][1], 100.0)
             continue
@@ -62,7 +62,7 @@ def data():
 
 @pytest.mark.parametrize("volume", [FEW, MANY])
 @pytest.mark.parametrize(
-    "rules", [BlockingRules(max_candidates=7), BlockingRules(use_country=False, use_first_token=False)]
+    "rules", [BlockingRules(max_candidates=7), BlockingRules(max_candidates=7, exact_in_cap=True), BlockingRules(use_country=False, use_first_token=False)]
 )
 def test_match_equals_loop(spark, data, volume, rules):
     sources, entities = data

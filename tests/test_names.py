@@ -66,5 +66,11 @@ def test_entity_country(spark):
 def test_clean_name_is_planned_once(spark):
     df = spark.createDataFrame([("a",)], "c string").select(names.clean_name("c").alias("n"))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("translate(") == 1
+    assert plan.count("translate(") == 2
     assert df.where(F.col("n") == "a").count() == 1
+
+
+def test_expanding_characters(spark):
+    rows = spark.createDataFrame([("ﬁrm ½ ㎏",), ("Общество Ltd",), ("株式会社 ABC",), ("Ǆungla é",)], "t string")
+    found = [r[0] for r in rows.select(names.normalize_name("t")).collect()]
+    assert found == ["firm 1 2 kg", "ltd", "abc", "dzungla e"]

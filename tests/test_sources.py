@@ -1,4 +1,5 @@
 import gzip
+import re
 
 import pytest
 
@@ -37,6 +38,38 @@ def test_entities(spark, tmp_path):
     assert tuple(xml.parse_counters(spark, str(tmp_path / "a.xml")).first()) == (4, 3, 1)
 
 
+def test_truncated_and_bad_records(spark, tmp_path):
+    (tmp_path / "t.xml").write_text("<D><LEIHeader/><LEIRecord><LEI>A</LEI></LEIRecord><LEIRecord><LEI>B</LEI>")
+    path = str(tmp_path / "t.xml")
+    assert [r.lei for r in xml.read_entities_xml(spark, path).collect()] == ["A"]
+    assert tuple(xml.parse_counters(spark, path).first()) == (2, 1, 1)
+    with pytest.raises(ValueError, match="1 LEIRecord"):
+        xml.read_entities_xml(spark, path, on_bad="fail")
+    (tmp_path / "b.xml").write_text(ENTITIES)
+    with pytest.raises(Exception, match="unreadable record"):
+        xml.read_entities_xml(spark, str(tmp_path / "b.xml"), on_bad="fail").collect()
+    assert [(r.row_id, "BAD" in r.record) for r in xml.bad_records(spark, str(tmp_path / "b.xml")).collect()] == [(3, True)]
+
+
+def test_record_text_is_not_shuffled(spark, tmp_path):
+    (tmp_path / "e.xml").write_text(ENTITIES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = xml.read_entities_xml(spark, str(tmp_path / "e.xml"))
+        text = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"BroadcastHashJoin \[_file#\d+, _start", text)
+    assert not re.search(r"SortMergeJoin \[_file#\d+, _start", text)
+
+
+def test_csv_keeps_text(spark, tmp_path):
+    odd = ["  two  ", "a\nb", 'q"q', "back\\slash\\", '"', "", "tab\t", "a,b\n\n c "]
+    tables.write_table(spark.createDataFrame([(x,) for x in odd], "t string"), str(tmp_path / "c"), "csv")
+    back = tables.read_register(spark, str(tmp_path / "c"), ["t"], "csv", multi_line=True)
+    assert sorted(r.t for r in back.collect()) == sorted(odd)
+
+
 def test_ordinals_over_many_splits_and_files(spark, tmp_path):
     for number in range(3):
         records = "".join(
@@ -104,7 +137,13 @@ def test_empty_table_keeps_its_columns(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "t"), header=True).columns == ["a", "b"]
 
 
+def test_dense_ordinal_blocks_are_bounded(spark):
+    df = spark.range(5000).selectExpr("cast(id % 2 as int) g", "id * 1000000007 as o")
+    numbered = dense_ordinal(df, "g", "o", "n", blocks=10)
+    assert [r.n for r in numbered.orderBy("g", "o").collect()] == list(range(1, 5001))
+
+
 def test_dense_ordinal_is_contiguous(spark):
     df = spark.range(3000).selectExpr("cast(id % 3 as int) g", "id * id as o")
-    rows = dense_ordinal(df, "g", "o", "n", width=5000).orderBy("g", "o").collect()
+    rows = dense_ordinal(df, "g", "o", "n", blocks=20).orderBy("g", "o").collect()
     assert [r.n for r in rows] == list(range(1, 3001))
