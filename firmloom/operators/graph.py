@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from firmloom.functions.names import parse_year
 from firmloom.functions.text import blank
 from firmloom.operators.checks import nonblank_endpoints, without_self_edges
-from firmloom.operators.skew import salted_join
 
 # Constant columns of the edge table.
 DIRECTION = "child_to_parent"
@@ -36,12 +35,11 @@ def nodes_with_flag(entities: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes with `in_relationships`: whether any edge ends there."""
     marked = endpoints(edges).withColumn("_hit", F.lit(True))
     columns = ("lei", "legal_name", "legal_name_clean", "country")
-    place = ["row_id"] if "row_id" in entities.columns else []
-    nodes = entities.select(*place, *[blank(c).alias(c) for c in columns])
-    # many entities may share the blank LEI, so hot LEIs are cut into slices
-    return salted_join(nodes, marked, ["lei"], place or list(columns[1:]), "left").select(
-        *columns, F.col("_hit").isNotNull().alias("in_relationships")
-    )
+    nodes = entities.select(*[blank(c).alias(c) for c in columns])
+    # many entities may share the blank LEI; for them at most one row is sent around
+    named = nodes.where(F.col("lei") != "").join(marked, "lei", "left")
+    unnamed = nodes.where(F.col("lei") == "").join(F.broadcast(marked.where(F.col("lei") == "")), "lei", "left")
+    return named.unionByName(unnamed).select(*columns, F.col("_hit").isNotNull().alias("in_relationships"))
 
 
 def distinct_edges(edges: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROWS_PER_SALT = 20_000
+MOST_HOT = 50_000
 
 
 @dataclass(frozen=True)
@@ -41,16 +42,15 @@ def measure(df: DataFrame) -> Volume:
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows: int = ROWS_PER_SALT) -> DataFrame:
-    """Keys with more than `rows` rows and the number of slices each needs.
+    """Keys with more than `rows` rows, or than one in MOST_HOT of all rows where
+    that is more, and the number of slices each needs.
 
-    At most one key per `rows` rows of `df` can qualify, which bounds the
-    broadcast of this table.
+    So at most MOST_HOT keys qualify, which bounds the broadcast of this table.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.ceil(F.count("*") / rows).cast("int").alias("_slices"))
-        .where(F.col("_slices") > 1)
-    )
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    share = F.greatest(F.lit(float(rows)), counts.agg(F.sum("_rows") / MOST_HOT).scalar())
+    slices = F.ceil(F.col("_rows") / share).cast("int")
+    return counts.withColumn("_slices", slices).where(F.col("_slices") > 1).drop("_rows")
 
 
 def salted_join(

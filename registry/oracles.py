@@ -700,3 +700,6 @@ ORACLES["all_run_metrics"] = sql(
     union all select metric, value from ({BUILD_ROWS}) b) m""",
     {"checked": "select lei from node"},
 )
+
+for _name in ("match_crosswalk", "block_candidates", "build_source_list"):
+    ORACLES[f"{_name}_large"] = ORACLES[_name]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from firmloom.functions.text import blank_na
 from firmloom.operators import blocking, checks, dedupe, evaluation, graph, membership, quality
 from firmloom.operators.ordinals import dense_ordinal, file_ordinal, surrogate_id
 from firmloom.operators.scoring import score_candidates, top_candidates
+from firmloom.operators.skew import Volume, measure
 from firmloom.plans import match, source_list
 from firmloom.plans.evaluate import evaluate_matches, review_samples
 from firmloom.plans.network import build_network, network_report
@@ -283,6 +285,20 @@ def match_crosswalk_capped(spark, sf_dir):
     return rounded(match.crosswalk(found), "match_score")
 
 
+def _large(frame):
+    """The measured volume, handled like one that is too large to broadcast."""
+    return replace(measure(frame), row_limit=-1)
+
+
+@query
+def match_crosswalk_large(spark, sf_dir):
+    """As match_crosswalk, by the joins for long company lists."""
+    source = fx.source(spark, sf_dir)
+    volume = _large(match.prepare_sources(source).select(*blocking.SOURCE))
+    found = match.match_table(source, fx.entity(spark, sf_dir), volume=volume)
+    return rounded(match.crosswalk(found), "match_score")
+
+
 @query
 def match_page_titles(spark, sf_dir):
     found = match.match_table(fx.title_source(spark, sf_dir), fx.text_entity(spark, sf_dir))
@@ -297,6 +313,14 @@ def block_candidates(spark, sf_dir):
     )
 
 
+@query
+def block_candidates_large(spark, sf_dir):
+    """As block_candidates, by the joins for long company lists."""
+    sources = match.prepare_sources(fx.source(spark, sf_dir))
+    volume = _large(sources.select(*blocking.SOURCE))
+    return blocking.block_candidates(sources, match.prepare_entities(fx.entity(spark, sf_dir)), volume=volume)
+
+
 @query
 def cap_block(spark, sf_dir):
     entities = match.prepare_entities(fx.entity(spark, sf_dir))
@@ -437,6 +461,13 @@ def build_source_list(spark, sf_dir):
     return source_list.build_source_list(*_list_inputs(spark, sf_dir), ACCESSED)
 
 
+@query
+def build_source_list_large(spark, sf_dir):
+    """As build_source_list, by the joins for long membership lists."""
+    base, members = _list_inputs(spark, sf_dir)
+    return source_list.build_source_list(base, members, ACCESSED, volume=Volume(1, 1, row_limit=-1))
+
+
 @query
 def build_counts(spark, sf_dir):
     return source_list.build_counts(*_list_inputs(spark, sf_dir), ACCESSED)

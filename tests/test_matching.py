@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from firmloom.operators import skew
 from firmloom.operators.blocking import BlockingRules
 from firmloom.operators.skew import Volume, salted_join
 from firmloom.plans import match
@@ -116,3 +117,10 @@ def test_salted_join_keeps_every_pair(spark):
 def test_source_columns_are_required(spark):
     with pytest.raises(ValueError, match="source_country.*source_notes"):
         match.prepare_sources(spark.createDataFrame([("a", "b")], "source_id string, source_name string"))
+
+
+def test_hot_keys_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MOST_HOT", 5)
+    df = spark.range(1000).selectExpr("id % 50 as k")
+    assert skew.hot_keys(df, ["k"], rows=2).count() == 0
+    assert skew.hot_keys(df.union(spark.range(500).selectExpr("0L as k")), ["k"], rows=2).count() == 1
