@@ -25,9 +25,16 @@ KEYS = [NAME, COUNTRY]
 LIST = "list_no"
 
 
-def dedupe_members(df: DataFrame) -> DataFrame:
-    """First row per clean name and country."""
-    return dedupe_keep_first(df, KEYS, "ordinal")
+def dedupe_members(df: DataFrame, keep_blank_names: bool = False) -> DataFrame:
+    """First row per clean name and country.
+
+    Names of other scripts clean to nothing and would count as one; with
+    `keep_blank_names` they are told apart by the name as it stands.
+    """
+    if not keep_blank_names:
+        return dedupe_keep_first(df, KEYS, "ordinal")
+    own = F.when(F.col(NAME) == "", F.col("source_name")).otherwise("")
+    return dedupe_keep_first(df.withColumn("_own", own), [*KEYS, "_own"], "ordinal").drop("_own")
 
 
 def stack_lists(lists: Sequence[DataFrame]) -> DataFrame:

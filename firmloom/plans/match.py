@@ -30,15 +30,28 @@ NOTE_FUZZY = "Top candidate by max(token_sort_ratio, token_set_ratio)"
 NOTE_NONE = "No candidates after blocking"
 
 
-def prepare_sources(sources: DataFrame) -> DataFrame:
-    """Company list with cleaned names and block columns."""
+def prepare_sources(sources: DataFrame, countries: DataFrame | None = None) -> DataFrame:
+    """Company list with cleaned names and block columns.
+
+    `countries` (name, code) turns country names into the register's codes; names
+    it does not have stay as they are.
+    """
     require_columns(sources, SOURCE_COLUMNS, "company list")
-    return sources.select(
+    prepared = sources.select(
         "source_id",
         blank("source_name").alias("source_name_raw"),
         clean_name("source_name").alias("name_clean"),
         country_norm(blank("source_country")).alias("country_norm"),
     )
+    if countries is None:
+        return prepared
+    codes = countries.groupBy(country_norm("name").alias("country_norm")).agg(
+        F.min(country_norm("code")).alias("_code")
+    )
+    return prepared.join(codes, "country_norm", "left").select(
+        "source_id", "source_name_raw", "name_clean",
+        F.coalesce("_code", "country_norm").alias("country_norm"),
+    )
 
 
 def prepare_entities(entities: DataFrame) -> DataFrame:
@@ -59,6 +72,7 @@ def match_table(
     auto: float = AUTO_THRESHOLD,
     review: float = REVIEW_THRESHOLD,
     volume: Volume | None = None,
+    countries: DataFrame | None = None,
 ) -> DataFrame:
     """Every source with its exact match, best candidates, score and status, and whether
     its block held more rows than are scored (`block_cut`).
@@ -66,7 +80,7 @@ def match_table(
     Equal (name, country) pairs are scored once. Write this table before
     deriving several results from it; each derivation would compute it again.
     """
-    prepared = prepare_sources(sources)
+    prepared = prepare_sources(sources, countries)
     volume = volume or measure(prepared.select(*SOURCE))
     sets = candidate_sets(prepared, prepare_entities(entities), rules, volume)
     scored = score_candidates(sets, top_k).select(*SOURCE, "block_level", "block_cut", "exact", "top")

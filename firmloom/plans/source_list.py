@@ -21,10 +21,11 @@ def _merged(
     base_spec: ListSpec = BASE_SPEC,
     specs: Sequence[ListSpec] = MEMBER_SPECS,
     volume: Volume | None = None,
+    keep_blank_names: bool = False,
 ) -> tuple[DataFrame, DataFrame, Merge]:
     frame = member_frame(base, base_spec, accessed)
     members = [(s, member_frame(df, s, accessed)) for s, df in zip(specs, lists, strict=True)]
-    unique = dedupe_members(frame)
+    unique = dedupe_members(frame, keep_blank_names)
     return frame, unique, merge_membership(unique, members, volume=volume)
 
 

@@ -89,6 +89,14 @@ def pick_columns(df: DataFrame, ordinal: str = "ordinal", what: str = "list") ->
     )
 
 
+def picked_headers(columns: Sequence[str]) -> dict[str, str | None]:
+    """Which header each column of a list is taken from, None where it has none."""
+    headers = [standard_header(c) for c in columns]
+    kinds = {"source_name": NAME_HEADERS, "source_country": COUNTRY_HEADERS, "source_sector": SECTOR_HEADERS, "source_url": URL_HEADERS}
+    places = {kind: pick_column(headers, *headings) for kind, headings in kinds.items()}
+    return {kind: None if place is None else columns[place] for kind, place in places.items()}
+
+
 def member_frame(
     df: DataFrame, spec: ListSpec, accessed: str, ordinal: str = "ordinal",
     flags: Sequence[str] = FLAGS,

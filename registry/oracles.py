@@ -622,6 +622,12 @@ ORACLES: dict[str, str] = {
     "top_in_degree": sql("select * from ins order by in_degree desc, firm_j limit 20"),
     "network_stats": "",
     "write_metrics": "",
+    "head_sample_edges": sql("""
+        select * from edge order by firm_i, firm_j, relation_type, year nulls first limit 50"""),
+    "head_sample_network_nodes": sql(
+        "select * from node where lei in (select lei from firm) order by lei limit 200"
+    ),
+    "head_sample_crosswalk": sql(f"select {WALK} from walk order by source_id limit 50"),
     "head_sample": sql("select * from entity order by row_id limit 50"),
     "sample_per_group": sql("select * from sample"),
     "label_template": sql("""
@@ -692,6 +698,9 @@ ORACLES["all_run_metrics"] = sql(
     union all select 'n_review', count_if(match_status = 'review') from walk
     union all select 'n_unmatched', count_if(match_status = 'unmatched') from walk
     union all select 'overall_auto_rate', count_if(match_status = 'auto') / count(*)::double from walk
+    union all select 'level2_rows_seen', count(*) from lineitem
+    union all select 'level2_rows_written', count_if(not (l_linenumber = 7 and l_quantity = 50)) from lineitem
+    union all select 'level2_skipped_rows', count_if(l_linenumber = 7 and l_quantity = 50) from lineitem
     union all select 'match_score_min', min(match_score) from walk
     union all select 'match_score_p25', quantile_cont(match_score, 0.25) from walk
     union all select 'match_score_median', quantile_cont(match_score, 0.5) from walk

@@ -574,6 +574,22 @@ def network_stats(spark, sf_dir):
     return _report(spark, sf_dir)["stats"]
 
 
+@query
+def head_sample_edges(spark, sf_dir):
+    return dedupe.head_sample(_edges(spark, sf_dir), ["firm_i", "firm_j", "relation_type", "year"])
+
+
+@query
+def head_sample_network_nodes(spark, sf_dir):
+    nodes = graph.nodes_in_network(_nodes(spark, sf_dir), _edges(spark, sf_dir))
+    return dedupe.head_sample(nodes, ["lei"], 200)
+
+
+@query
+def head_sample_crosswalk(spark, sf_dir):
+    return dedupe.head_sample(_walk(spark, sf_dir), ["source_id"])
+
+
 @query
 def head_sample(spark, sf_dir):
     return dedupe.head_sample(fx.entity(spark, sf_dir), ["row_id"])
@@ -626,5 +642,6 @@ def all_run_metrics(spark, sf_dir):
     nodes, edges = build_network(entity, relation)
     walk = match.crosswalk(_matches(spark, sf_dir))
     build = source_list.build_counts(*_list_inputs(spark, sf_dir), ACCESSED)
-    metrics = run_metrics(entity, relation, nodes, edges, walk, build)
+    parsed = xml_records.parse_counters(spark, xml_files.relations(spark, sf_dir), xml_records.RELATION_TAG)
+    metrics = run_metrics(entity, relation, nodes, edges, walk, build, {"level2": parsed})
     return rounded(metrics, "value")

@@ -7,7 +7,8 @@ from firmloom.operators.membership import dedupe_members, merge_membership
 from firmloom.operators.skew import Volume
 from firmloom.plans.source_list import build_source_list
 from firmloom.sources.lists import (
-    FLAGS, MEMBER_SPECS, NAME_HEADERS, member_frame, pick_column, pick_columns, standard_header,
+    FLAGS, MEMBER_SPECS, NAME_HEADERS, member_frame, pick_column, pick_columns, picked_headers,
+    standard_header,
 )
 from firmloom.sources.lists import BASE_SPEC
 
@@ -87,3 +88,15 @@ def test_build_source_list_orders_and_numbers(spark):
     ]
     assert [tuple(r[f] for f in FLAGS) for r in rows][2:] == [(0, 1, 1, 1)] * 2
     assert rows[2].source_notes.startswith("Added from RE100 manual list; ")
+
+
+def test_blank_names_can_be_kept(spark):
+    rows = [(1, "株", "", "jp"), (2, "会", "", "jp"), (3, "株", "", "jp"), (4, "A", "a", "jp"), (5, "a!", "a", "jp")]
+    df = spark.createDataFrame(rows, "ordinal int, source_name string, source_name_clean string, source_country_norm string")
+    assert sorted(r.ordinal for r in dedupe_members(df).collect()) == [1, 4]
+    assert sorted(r.ordinal for r in dedupe_members(df, keep_blank_names=True).collect()) == [1, 2, 4]
+
+
+def test_picked_headers():
+    found = picked_headers(["Member name", "HQ location", "x"])
+    assert found == {"source_name": "Member name", "source_country": "HQ location", "source_sector": None, "source_url": None}

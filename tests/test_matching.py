@@ -124,3 +124,11 @@ def test_hot_keys_are_bounded(spark, monkeypatch):
     df = spark.range(1000).selectExpr("id % 50 as k")
     assert skew.hot_keys(df, ["k"], rows=2).count() == 0
     assert skew.hot_keys(df.union(spark.range(500).selectExpr("0L as k")), ["k"], rows=2).count() == 1
+
+
+def test_country_names_become_codes(spark):
+    columns = ", ".join(f"{c} string" for c in match.SOURCE_COLUMNS)
+    src = spark.createDataFrame([("S1", "a", " Germany", "", ""), ("S2", "b", "Mars", "", ""), ("S3", "c", None, "", "")], columns)
+    codes = spark.createDataFrame([("Germany", "de"), ("France", "FR")], "name string, code string")
+    found = match.prepare_sources(src, codes).collect()
+    assert {r.source_id: r.country_norm for r in found} == {"S1": "DE", "S2": "MARS", "S3": ""}
