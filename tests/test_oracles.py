@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 from tools.compare import oracle, table
 
 SF = "/root/testdata/sf0.001"
@@ -34,7 +36,7 @@ def test_query_equals_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 def test_entry(spark):
