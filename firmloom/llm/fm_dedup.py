@@ -11,7 +11,8 @@ gives the longest stretch that still occurs twice (matching statistics); stretch
 or more are reported as intervals.
 
 Exact copies are one text throughout. An anchor with more than `most` passages would make a shard too
-large: its windows are counted one by one by a 128-bit hash instead, with the same result.
+large: there, equal passages repeat each other whole, and the windows of the different ones are counted
+one by one, both by 128-bit hashes, with the same result.
 """
 
 from __future__ import annotations
@@ -238,7 +239,8 @@ def repeated_intervals(docs: DataFrame, scanned: DataFrame, width: int, shard_pa
     occurrences = texts.select("key", F.explode(F.arrays_zip("anchors", "runs")).alias("z")).select(
         "key", F.col("z.anchors").alias("anchor"), F.col("z.runs").alias("run")
     )
-    repeated = occurrences.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join deals both sides anew and can split a common anchor.
+    repeated = stored(occurrences.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "anchors")
     hits = stored(occurrences.join(repeated, "anchor"), "hits")
     total = hits.count()
     shards = max(1, -(-total // shard_passages))
@@ -257,28 +259,28 @@ def repeated_intervals(docs: DataFrame, scanned: DataFrame, width: int, shard_pa
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
-                keys, shard, start, words, hashed = [], [], [], [], []
+                keys, shard, start, words, hashed, whole_hash = [], [], [], [], [], []
                 texts = [t.split() for t in batch.column(1).to_pylist()]
                 for key, split, hashes, found in zip(batch.column(0).to_pylist(), texts, word_hashes(texts), batch.column(2).to_pylist()):
                     twice = None
                     for m in found:
                         first, size = m["run"] >> 6, m["run"] & 63
-                        if m["hot"]:
-                            if twice is None:
-                                twice = [rolling(hashes, width, x) for x in (MULTIPLIER, MIX)]
-                            for s in range(first, first + size):
-                                keys.append(key), shard.append(None), start.append(s), words.append(None)
-                                hashed.append(twice[0][s].tobytes() + twice[1][s].tobytes())
-                        else:
-                            keys.append(key), shard.append(m["shard"]), start.append(first), hashed.append(None)
-                            words.append(b" ".join(split[first : first + size + width - 1]))
+                        keys.append(key), start.append(first)
+                        shard.append(None if m["hot"] else m["shard"])
+                        words.append(None if m["hot"] else b" ".join(split[first : first + size + width - 1]))
+                        if m["hot"] and twice is None:
+                            twice = np.stack([rolling(hashes, width, x) for x in (MULTIPLIER, MIX)], axis=1)
+                        rows = twice[first : first + size].tobytes() if m["hot"] else None
+                        hashed.append(rows and [rows[i : i + 16] for i in range(0, len(rows), 16)])
+                        whole_hash.append(rows and xxhash.xxh3_128_digest(rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.binary()), pa.array(shard, pa.int32()), pa.array(start, pa.int32()),
-                     pa.array(words, pa.binary()), pa.array(hashed, pa.binary())],
-                    names=["key", "shard", "start", "words", "hashed"],
+                     pa.array(words, pa.binary()), pa.array(hashed, pa.list_(pa.binary())), pa.array(whole_hash, pa.binary())],
+                    names=["key", "shard", "start", "words", "hashed", "whole"],
                 )
 
-    passages = suspects.mapInArrow(cut, "key binary, shard int, start int, words binary, hashed binary")
+    layout = "key binary, shard int, start int, words binary, hashed array<binary>, whole binary"
+    passages = stored(suspects.mapInArrow(cut, layout), "passages")
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
         rows = [
@@ -291,13 +293,29 @@ def repeated_intervals(docs: DataFrame, scanned: DataFrame, width: int, shard_pa
     hot = hits.where(F.col("n") > most).limit(1).count() > 0
     found = passages.where("shard is not null").select("key", "shard", "start", "words").groupBy("shard").applyInPandas(solve, "key binary, a int, b int")
     if hot:
-        single = stored(passages.where("hashed is not null").select("key", "start", "hashed"), "windows")
-        twice = single.groupBy("hashed").agg(F.count("*").alias("n")).where("n > 1").select("hashed")
-        windows = single.join(twice, "hashed").select("key", F.col("start").alias("a"), (F.col("start") + width).alias("b"))
-        found = found.unionByName(windows)
+        found = found.unionByName(_hot_intervals(passages.where("whole is not null"), width))
     return texts.select("key", "copies"), suspects.select("key", "text"), found
 
 
+def _hot_intervals(passages: DataFrame, width: int) -> DataFrame:
+    """Repeated intervals of passages (key, start, hashed: their windows' hashes, whole: hash of these).
+
+    Passages that occur twice are done with; of each of these one stays to be counted, and of the
+    others the windows that occur twice are reported.
+    """
+    place = F.struct("key", "start")
+    times = passages.groupBy("whole").agg(F.count("*").alias("n"), F.min(place).alias("one"))
+    counted = passages.join(times, "whole")
+    copies = counted.where("n > 1").select("key", F.col("start").alias("a"), (F.col("start") + F.size("hashed") + width - 1).alias("b"))
+    windows = counted.where((F.col("n") == 1) | (F.col("one") == place)).select(
+        "key", "start", "n", F.posexplode("hashed").alias("at", "w")
+    )
+    twice = windows.groupBy("w").agg(F.count("*").alias("times")).where("times > 1").select("w")
+    begin = F.col("start") + F.col("at")
+    single = windows.where("n = 1").join(twice, "w").select("key", begin.alias("a"), (begin + width).alias("b"))
+    return copies.unionByName(single)
+
+
 def without_repeats(
     docs: DataFrame, width: int = 35, shard_passages: int = 8192, most: int = 2048,
     id_col: str = "doc_id", text_col: str = "text",
