@@ -82,6 +82,12 @@ class WordIds(dict):
             found = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(symbols)]).tobytes()
         return found
 
+    def forget(self) -> None:
+        """Empty the cache: a worker process outlives its task, and the next stage needs the memory."""
+        self.clear()
+        self.old = {}
+        self.pieces = {}
+
     def batch_ids(self, texts: pa.StringArray) -> Iterator[memoryview]:
         """The ids of each text. Each different word of the batch is looked up once."""
         lists = pc.ascii_split_whitespace(texts)
@@ -98,7 +104,7 @@ class WordIds(dict):
 
 @functools.lru_cache(maxsize=2)
 def _words(path: str) -> WordIds:
-    """One for each worker process, kept from task to task."""
+    """One for each worker process; the vocabulary is kept from task to task, words are not."""
     return WordIds(path)
 
 
@@ -137,6 +143,7 @@ def token_pieces(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names
                 )
+        words.forget()
 
     return narrow.mapInArrow(run, layout)
 

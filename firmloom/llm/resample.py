@@ -29,6 +29,8 @@ from firmloom.llm.common import row_key, slices, stored, text_or_empty
 #: Buckets of each kind of feature: words, beginnings of four and of five characters, marks.
 BUCKETS, KINDS = 1 << 18, 4
 WIDTH = KINDS * BUCKETS
+#: Text whose features are in memory at once: they take some thirty times its size.
+BATCH_BYTES = 2 << 20
 #: The bucket, among those of marks, of a word that stands three times in a row.
 THRICE = WIDTH - 1
 #: A feature counts if the target should hold it this often, and its share is this low in logs.
@@ -108,7 +110,7 @@ def fit(docs: DataFrame, good: np.ndarray, share: float, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(width, dtype=np.int64), np.zeros(width, dtype=np.int64)
         for whole in batches:
-            for batch in slices(whole, 1, 8 << 20):
+            for batch in slices(whole, 1, BATCH_BYTES):
                 buckets, owners = features(batch.column(1).to_pylist())
                 raw += np.bincount(buckets, minlength=width)
                 target += np.bincount(buckets[_contains(good, batch.column(0))[owners]], minlength=width)
@@ -143,7 +145,7 @@ def score(docs: DataFrame, shares: Shares, good: np.ndarray, bad: np.ndarray, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 2, 8 << 20):
+            for batch in slices(whole, 2, BATCH_BYTES):
                 found = shares.weights(batch.column(2).to_pylist())
                 is_good, is_bad = _contains(good, batch.column(0)), _contains(bad, batch.column(0))
                 label = pa.array(is_good.astype(np.int32), mask=~(is_good | is_bad))
@@ -255,8 +257,8 @@ def select_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     @F.pandas_udf("double")
     def weight(texts: pd.Series) -> pd.Series:
         out = []
-        for at in range(0, len(texts), 1024):
-            out.append(shares.weights([t.encode() if t else b"" for t in texts.iloc[at : at + 1024]]))
+        for at in range(0, len(texts), 256):
+            out.append(shares.weights([t.encode() if t else b"" for t in texts.iloc[at : at + 256]]))
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     log_weight = weight(F.col(text_col).cast("string"))
