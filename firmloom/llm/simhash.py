@@ -130,7 +130,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, distance: int = 4, id_col:
 def keep_one(docs: DataFrame, words: int = 5, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` with one row left of every component: that of the smallest doc_id (null
     ids come last), of these of the smallest row_key, and one of rows that agree in both."""
-    found = stored(near_duplicates(docs, words, distance, id_col, text_col), "classes")
+    return keep_rows(docs, near_duplicates(docs, words, distance, id_col, text_col), id_col, text_col)
+
+
+def keep_rows(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that `keep_one` leaves for the components `found` (doc_id, row_key, root)."""
+    found = stored(found.select("doc_id", "row_key", "root"), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
     kept = found.groupBy("root").agg(F.min(order).alias("k"))
     copies = found.groupBy("doc_id", "row_key").agg(F.count("*").alias("copies")).alias("c")
