@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firmloom.llm import chat, decontaminate, fm_dedup, packing, pseudo_likelihood, resample, secrets, simhash, token_counts, voronoi
+from firmloom.llm import chat, decontaminate, fm_dedup, packing, pseudo_likelihood, repair, resample, secrets, simhash, token_blocks, token_counts, voronoi, whitening
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -127,6 +127,21 @@ def op10_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_blocks.encode_documents(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, 2)
+
+
+def op12_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a deviation beyond 64 bits is null here; the operator itself gives 38 digits
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), 8, 1024.0, 100_000)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damage(turns), turns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -140,5 +155,8 @@ QUERIES = {
         op8_voronoi_knn,
         op9_shortest_pack_first,
         op10_fm_substring_dedup,
+        op11_token_blocks,
+        op12_feast_whitening,
+        op13_conversation_repair,
     )
 }

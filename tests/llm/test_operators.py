@@ -39,7 +39,7 @@ def words(text):
 def test_against_sql(spark, name):
     frame = Q.QUERIES[name](spark, SF)
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "conversations"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     columns = sorted(frame.columns)
     result = con.execute(f"select {', '.join(columns)} from ({ORACLES[name]})").fetchall()
