@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firmloom.llm import decontaminate, near_copies, packing, resample, secrets
+from firmloom.llm import decontaminate, packing, resample, secrets, simhash
 from firmloom.llm.common import shared_dir
 from firmloom.llm.queries import WORD_VOCABULARY, table
 
@@ -17,8 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by verified Jaccard similarity of five-word shingles."""
-    return near_copies.keep_one(docs, words=5, tenths=8)
+    """One document of each group whose SimHash fingerprints over four-word shingles link at 4 bits or fewer."""
+    return simhash.keep_one(docs, words=4, distance=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", quality),
-    ("near duplicates", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("decontamination", decontamination),
     ("secret scans", secret_scan),
     ("packing", pack),
