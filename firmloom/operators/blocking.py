@@ -26,14 +26,14 @@ SOURCES_PER_TASK = 250
 class BlockingRules:
     """Which key parts may block, and how many rows of a block are scored.
 
-    Equal names are found in the whole block; with `exact_in_cap` only among the
-    rows that are scored.
+    `max_candidates` None scores the whole block (`whole_blocks`). Equal names are found in the
+    whole block; with `exact_in_cap` only among the rows that are scored.
     """
 
     use_country: bool = True
     use_first_token: bool = True
     use_first_char: bool = True
-    max_candidates: int = 50
+    max_candidates: int | None = 50
     exact_in_cap: bool = False
 
     def levels(self) -> list[int]:

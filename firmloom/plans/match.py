@@ -18,6 +18,7 @@ from firmloom.operators.blocking import (
 from firmloom.operators.checks import nonblank, require_columns
 from firmloom.operators.scoring import score_candidates
 from firmloom.operators.skew import Volume, measure, salted_join
+from firmloom.operators.whole_blocks import whole_block_matches
 
 # Column sets, score types and notes of the result tables.
 SOURCE_COLUMNS = ("source_id", "source_name", "source_country", "source_sector", "source_notes")
@@ -82,8 +83,12 @@ def match_table(
     """
     prepared = prepare_sources(sources, countries)
     volume = volume or measure(prepared.select(*SOURCE))
-    sets = candidate_sets(prepared, prepare_entities(entities), rules, volume)
-    scored = score_candidates(sets, top_k).select(*SOURCE, "block_level", "block_cut", "exact", "top")
+    register = prepare_entities(entities)
+    if rules.max_candidates is None:
+        scored = whole_block_matches(prepared, register, rules, top_k, volume)
+    else:
+        scored = score_candidates(candidate_sets(prepared, register, rules, volume), top_k)
+    scored = scored.select(*SOURCE, "block_level", "block_cut", "exact", "top")
     if volume.broadcastable:
         joined = prepared.join(scored, SOURCE, "left")
     else:
@@ -103,7 +108,10 @@ def match_table(
 
 
 def crosswalk(matches: DataFrame) -> DataFrame:
-    """One row per source with the matched entity; the entity is blank when unmatched."""
+    """One row per source with the matched entity; the entity is blank when unmatched.
+
+    `block_cut` tells whether the source's block held more rows than were scored; null without a block.
+    """
     method, best = F.col("match_method"), F.get("top", F.lit(0))
 
     def matched(field: str) -> Column:
@@ -135,6 +143,7 @@ def crosswalk(matches: DataFrame) -> DataFrame:
         "match_status",
         "blocking_keys",
         notes.alias("notes"),
+        "block_cut",
     )
 
 

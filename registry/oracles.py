@@ -138,6 +138,10 @@ CTES: dict[str, str] = {
     "block": """
         select * from (select *, row_number() over (partition by lvl, kc, kn order by row_id) as rn
                        from ent_key) e where rn <= 50""",
+    "cut_of": """
+        select p.name, p.c, z.n > 50 as cut from placed p
+        join src_key k on p.name = k.name and p.c = k.c and p.lvl = k.lvl
+        join block_size z on z.lvl = k.lvl and z.kc = k.kc and z.kn = k.kn""",
     "cand": """
         select p.name, p.c, p.lvl, b.row_id, b.lei, b.legal_name, b.name as other, k.kc, k.kn
         from placed p join src_key k on p.name = k.name and p.c = k.c and p.lvl = k.lvl
@@ -229,8 +233,10 @@ CTES |= {
                     when e.name is not null then 'Exact match on cleaned names'
                     when f.name is not null
                     then 'Top candidate by max(token_sort_ratio, token_set_ratio)'
-                    else 'No candidates after blocking' end as notes
+                    else 'No candidates after blocking' end as notes,
+               case when s.name <> '' then coalesce(z.cut, false) end as block_cut
         from src s left join exact e on e.name = s.name and e.c = s.c
+        left join cut_of z on z.name = s.name and z.c = s.c
         left join (select * from ranked where rank = 1) f on f.name = s.name and f.c = s.c""",
     # company list
     "base": f"""
@@ -411,12 +417,21 @@ def pair_score(expression: str) -> str:
 WALK = (
     "source_id, source_name_raw, source_name_clean, matched_lei, matched_legal_name, "
     "matched_legal_name_clean, round(match_score, 6) as match_score, score_type, match_method, "
-    "match_status, blocking_keys, notes"
+    "match_status, blocking_keys, notes, block_cut"
 )
+# nothing is cut: every row of a block is a candidate
+WHOLE = {
+    "block": "select * from ent_key",
+    "cut_of": "select name, c, false as cut from placed",
+}
 EXACT_IN_CAP = """
     select name, c, arg_min(lei, row_id) as lei, arg_min(legal_name, row_id) as legal_name,
            arg_min(other, row_id) as other
     from cand where other = name group by name, c"""
+TOP_SCORES = """
+    select name as name_clean, c as country_norm, rank, row_id, lei,
+           round(sort_ratio, 6) as token_sort_ratio, round(set_ratio, 6) as token_set_ratio,
+           round(best, 6) as combined_score from ranked where rank <= 3"""
 TITLES = {
     "entity": CTES["text_entity"],
     "source": CTES["title_source"],
@@ -528,6 +543,8 @@ ORACLES: dict[str, str] = {
     "match_crosswalk": sql(f"select {WALK} from walk"),
     "match_page_titles": sql(f"select {WALK} from walk", TITLES),
     "match_crosswalk_capped": sql(f"select {WALK} from walk", {"exact": EXACT_IN_CAP}),
+    "fuzzy_match_whole": sql(f"select {WALK} from walk", WHOLE),
+    "top_scores_whole": sql(TOP_SCORES, WHOLE),
     "block_candidates": sql("""
         select k.name as name_clean, k.c as country_norm, k.lvl as block_level, z.n > 50 as block_cut,
                row_id, lei, legal_name, other as legal_name_clean
@@ -555,17 +572,15 @@ ORACLES: dict[str, str] = {
                'unmatched' as match_status,
                concat('country=', case when c = '' then 'NA' else c end,
                       '|first_char=|first_token=') as blocking_keys,
-               'Empty cleaned source name' as notes from src where name = ''"""),
+               'Empty cleaned source name' as notes, cast(null as boolean) as block_cut
+        from src where name = ''"""),
     "token_sort_ratio": pair_score("coalesce(sort_ratio, 0)"),
     "token_set_ratio": pair_score("coalesce(set_ratio, 0)"),
     "combined_score": pair_score("coalesce(greatest(sort_ratio, set_ratio), 0)"),
     "match_status": sql("""
         select source_id, case when match_score >= 95 then 'auto' when match_score >= 85
                then 'review' else 'unmatched' end as status from crosswalk"""),
-    "top_scores": sql("""
-        select name as name_clean, c as country_norm, rank, row_id, lei,
-               round(sort_ratio, 6) as token_sort_ratio, round(set_ratio, 6) as token_set_ratio,
-               round(best, 6) as combined_score from ranked where rank <= 3"""),
+    "top_scores": sql(TOP_SCORES),
     "review_candidates": sql("""
         select w.source_id, w.source_name_raw, r.lei as candidate_lei,
                r.legal_name as candidate_legal_name, r.other as candidate_legal_name_clean,

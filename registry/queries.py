@@ -14,6 +14,7 @@ from firmloom.operators import blocking, checks, dedupe, evaluation, graph, memb
 from firmloom.operators.ordinals import dense_ordinal, file_ordinal, surrogate_id
 from firmloom.operators.scoring import score_candidates, top_candidates
 from firmloom.operators.skew import Volume, measure
+from firmloom.operators.whole_blocks import whole_block_matches
 from firmloom.plans import match, source_list
 from firmloom.plans.evaluate import evaluate_matches, review_samples
 from firmloom.plans.network import build_network, network_report
@@ -285,6 +286,24 @@ def match_crosswalk_capped(spark, sf_dir):
     return rounded(match.crosswalk(found), "match_score")
 
 
+@query
+def fuzzy_match_whole(spark, sf_dir):
+    """As match_crosswalk, with the best candidates of the whole block instead of its first 50 rows."""
+    rules = blocking.BlockingRules(max_candidates=None)
+    found = match.match_table(fx.source(spark, sf_dir), fx.entity(spark, sf_dir), rules)
+    return rounded(match.crosswalk(found), "match_score")
+
+
+@query
+def top_scores_whole(spark, sf_dir):
+    """The three best candidates of every source's whole block."""
+    found = whole_block_matches(
+        match.prepare_sources(fx.source(spark, sf_dir)), match.prepare_entities(fx.entity(spark, sf_dir)),
+        blocking.BlockingRules(max_candidates=None),
+    )
+    return rounded(top_candidates(found), "token_sort_ratio", "token_set_ratio", "combined_score")
+
+
 def _large(frame):
     """The measured volume, handled like one that is too large to broadcast."""
     return replace(measure(frame), row_limit=-1)

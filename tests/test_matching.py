@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from firmloom.operators import skew
+from firmloom.functions.best_names import best_names
+from firmloom.operators import skew, whole_blocks
 from firmloom.operators.blocking import BlockingRules
 from firmloom.operators.skew import Volume, salted_join
 from firmloom.plans import match
@@ -63,7 +64,7 @@ def data():
 
 @pytest.mark.parametrize("volume", [FEW, MANY])
 @pytest.mark.parametrize(
-    "rules", [BlockingRules(max_candidates=7), BlockingRules(max_candidates=7, exact_in_cap=True), BlockingRules(use_country=False, use_first_token=False)]
+    "rules", [BlockingRules(max_candidates=7), BlockingRules(max_candidates=7, exact_in_cap=True), BlockingRules(use_country=False, use_first_token=False), BlockingRules(max_candidates=None)]
 )
 def test_match_equals_loop(spark, data, volume, rules):
     sources, entities = data
@@ -132,3 +133,44 @@ def test_country_names_become_codes(spark):
     codes = spark.createDataFrame([("Germany", "de"), ("France", "FR")], "name string, code string")
     found = match.prepare_sources(src, codes).collect()
     assert {r.source_id: r.country_norm for r in found} == {"S1": "DE", "S2": "MARS", "S3": ""}
+
+
+def test_whole_blocks_in_many_slices(spark, data, monkeypatch):
+    """Names and sources of a block in slices of a few rows: same result."""
+    monkeypatch.setattr(whole_blocks, "NAMES", 9)
+    monkeypatch.setattr(whole_blocks, "SOURCES", 4)
+    test_match_equals_loop(spark, data, MANY, BlockingRules(max_candidates=None))
+
+
+def test_cut_blocks_are_marked(spark, data):
+    sources, entities = data
+    src = spark.createDataFrame(
+        [(s, n or "***", c, None, "") for s, n, c in sources],
+        "source_id string, source_name string, source_country string, source_sector string, source_notes string",
+    )
+    ent = spark.createDataFrame(
+        [(i, lei, n.title(), n, c) for i, lei, n, c in entities],
+        "row_id long, lei string, legal_name string, legal_name_clean string, country string",
+    )
+    marks = {r.block_cut for r in match.crosswalk(match.match_table(src, ent, BlockingRules(max_candidates=7))).collect()}
+    assert marks == {True, False, None}
+    whole = match.crosswalk(match.match_table(src, ent, BlockingRules(max_candidates=None)))
+    assert {r.block_cut for r in whole.collect()} == {False, None}
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_best_names_by_every_pair(k):
+    rng = random.Random(k)
+    words = ["red", "blue", "bolt", "bolts", "rod", "gear", "gears", "zinc", "old", "a", "ab", "zz9", "\u00e9\u00e8"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 4)))
+    sources, names = [name() for _ in range(60)] + ["0qq", "x" * 300], [name() for _ in range(400)]
+    firsts = rng.sample(range(10_000), len(names))
+    found = {}
+    for r in best_names(sources, names, firsts, k):
+        found.setdefault(r["source"], []).append(r)
+    for i, s in enumerate(sources):
+        scores = [(-max(slow_sort(s, n), slow_set(s, n)), f, j) for j, (n, f) in enumerate(zip(names, firsts))]
+        assert [j for *_, j in sorted(scores)[:k]] == [r["name"] for r in found[i]]
+        for r in found[i]:
+            assert r["token_sort_ratio"] == pytest.approx(slow_sort(s, names[r["name"]]))
+            assert r["token_set_ratio"] == pytest.approx(slow_set(s, names[r["name"]]))
