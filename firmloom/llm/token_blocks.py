@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from firmloom.llm.bpe import byte_letters
-from firmloom.llm.common import row_key, shared_dir, slices, stored, text_or_empty
+from firmloom.llm.common import shared_dir, slices, text_or_empty
 from firmloom.llm.token_counts import PATTERN
 
 BLOCK = 128
-#: Ids of a segment, and most ids of one row before the sort.
-SEGMENT, PIECE = 1 << 19, 1 << 16
-#: Ids of a range partition, and most partitions: beyond, partitions grow.
-PART_IDS, MOST_PARTS = 8_000_000, 20_000
+#: Ids of a segment.
+SEGMENT = 1 << 19
+#: Bytes of text of a range partition, and most partitions: beyond, partitions grow.
+PART_BYTES, MOST_PARTS = 24 << 20, 20_000
 MAGIC = b"PFR1"
 #: magic, ids, blocks, entries
 HEAD = struct.Struct("<4sIII")
@@ -237,17 +237,18 @@ class ChunkIds(dict):
         return array("I" if self.wide else "H", ids).tobytes()
 
     def _chunk(self, word: str) -> bytes:
-        if word.isascii():
+        if word.isascii() or max(word) <= "\u024f":
             if word.isalpha():
-                return self._merge("\u0120" + word)
-            if word[:-1].isalpha() and word[-1] in ".,!?;:":
+                return self._merge(" " + word)
+            if word[-1] in ".,!?;:" and word[:-1].isalpha():
                 return self[word[:-1]] + self._piece(word[-1])
-        text = word[1:] if word[0] == "\x01" else word if word[0] == "\n" else " " + word
-        if len(word) > self.longest or max(word) > "\u024f" or min(word[1:], default=" ") < " ":
-            return self.whole(text)
-        return b"".join([self._piece(p) for p in self.pattern.findall(text)])
+            if len(word) <= self.longest and min(word[1:], default=" ") >= " ":
+                text = word[1:] if word[0] == "\x01" else word if word[0] == "\n" else " " + word
+                return b"".join([self._piece(p) for p in self.pattern.findall(text)])
+        return self.whole(word[1:] if word[0] == "\x01" else word if word[0] == "\n" else " " + word)
 
-    def _merge(self, symbols: str) -> bytes:
+    def _merge(self, piece: str) -> bytes:
+        symbols = "\u0120" + piece[1:] if piece[0] == " " and piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
         return self._bytes([t.id for t in self.model.tokenize(symbols)])
 
     def _piece(self, piece: str) -> bytes:
@@ -255,7 +256,7 @@ class ChunkIds(dict):
         if found is None:
             if len(self.pieces) >= self.room:
                 self.pieces.clear()
-            found = self.pieces[piece] = self._merge(piece.encode().decode("latin-1").translate(self.letters))
+            found = self.pieces[piece] = self._merge(piece)
         return found
 
     def batch(self, texts: pa.Array) -> list[bytes]:
@@ -286,37 +287,6 @@ def _coder(path: str) -> ChunkIds:
     return ChunkIds(path)
 
 
-def encoded_pieces(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, key, row, piece, total, wide, ids): the ids of every text and `end_id`, in rows of
-    at most PIECE ids. `key` and `row` put rows of one doc_id in an order and keep them apart."""
-    narrow = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), row_key(text_col).alias("key"),
-        F.monotonically_increasing_id().alias("row"), text_or_empty(text_col).alias("text"),
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary)
-        size = 4 if coder.wide else 2
-        end = end_id.to_bytes(size, "little")
-        for whole in batches:
-            for batch in slices(whole, 3, 8 << 20):
-                rows = []
-                heads = zip(*(batch.column(k).to_pylist() for k in range(3)))
-                for (doc_id, key, row), ids in zip(heads, coder.batch(batch.column(3))):
-                    ids += end
-                    total = len(ids) // size
-                    for n, start in enumerate(range(0, total, PIECE)):
-                        rows.append((doc_id, key, row, n, total, size == 4, ids[start * size : (start + PIECE) * size]))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                    names=["doc_id", "key", "row", "piece", "total", "wide", "ids"],
-                )
-        coder.forget()
-
-    return narrow.mapInArrow(run, "doc_id long, key long, row long, piece long, total long, wide boolean, ids binary")
-
-
 # ---- files
 
 
@@ -331,12 +301,15 @@ def write_token_blocks(
     is spread over segments; an empty table gives a file without segments. `vocabulary` is the
     path of a byte-level vocabulary file on every executor.
     """
-    pieces = stored(encoded_pieces(docs, vocabulary, end_id, id_col, text_col), "pieces")
-    total = pieces.where("piece = 0").agg(F.sum("total")).first()[0] or 0
-    parts = max(1, min(MOST_PARTS, -(-total // PART_IDS)))
-    order = ["doc_id", "key", "row", "piece"]
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    size = narrow.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    parts = max(1, min(MOST_PARTS, -(-size // PART_BYTES)))
+    # the row number parts rows that are equal in all else, so that no id is too hot to split
+    order = ["doc_id", "key", "row"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(vocabulary)
+        end, kind = np.array([end_id], dtype="<u4"), "<u4" if coder.wide else "<u2"
         part, place, seq = TaskContext.get().partitionId(), 0, 0
         held, entries, room = [], [], SEGMENT
 
@@ -348,29 +321,33 @@ def write_token_blocks(
                 names=["part", "seq", "place", "n_ids", "data"],
             )
 
-        for batch in batches:
-            for doc_id, piece, whole, wide, data in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "piece", "total", "wide", "ids"))):
-                ids = np.frombuffer(data, "<u4" if wide else "<u2").astype("<u4")
-                offset = piece * PIECE
-                while len(ids):
-                    now, ids = ids[:room], ids[room:]
-                    held.append(now)
-                    entries.append((doc_id or 0, doc_id is not None, offset, len(now), whole))
-                    offset, room = offset + len(now), room - len(now)
-                    if not room:
-                        yield segment()
-                        place, seq = place + SEGMENT, seq + 1
-                        held, entries, room = [], [], SEGMENT
+        for whole in batches:
+            for batch in slices(whole, 1, 8 << 20):
+                for doc_id, data in zip(batch.column(0).to_pylist(), coder.batch(batch.column(1))):
+                    ids = np.concatenate([np.frombuffer(data, kind), end], dtype="<u4")
+                    total, offset = len(ids), 0
+                    while len(ids):
+                        now, ids = ids[:room], ids[room:]
+                        held.append(now)
+                        entries.append((doc_id or 0, doc_id is not None, offset, len(now), total))
+                        offset, room = offset + len(now), room - len(now)
+                        if not room:
+                            yield segment()
+                            place, seq = place + SEGMENT, seq + 1
+                            held, entries, room = [], [], SEGMENT
         if held:
             yield segment()
+        coder.forget()
 
-    segments = (
-        pieces.repartitionByRange(parts, *order)
+    written = (
+        narrow.withColumn("key", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
+        .select("doc_id", "text")
         .mapInArrow(run, "part long, seq long, place long, n_ids long, data binary")
     )
     # the packed bytes do not shrink further
-    segments.write.option("compression", "none").parquet(path)
+    written.write.option("compression", "none").parquet(path)
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:

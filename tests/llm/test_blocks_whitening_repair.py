@@ -44,7 +44,7 @@ def test_checksum_of_parts():
 
 ODD = [
     "a  b", " a", "a ", "a\n\nb", "a\nb", "it's don't we'll x", "<|endoftext|> x", "x <|endoftext|>", "a\tb", "日本 語\n\n", "", "\n", " ",
-    "a \n b", "é ü z  ", "\x01a b", "a\x0bb c", "a \x85 b", "x\r\ny z", "a b c  d", "A1b2 c3.d4, (e) --", "w" * 5000 + " end", "﻿x y",
+    "a \n b", "é ü z  ", "\x01a b", "a\x0bb c", "a \x85 b", "x\r\ny z", "a b c  d", "A1b2 c3.d4, (e) --", "w" * 5000 + " end", "ünïcödé wörd, größe. über\nÄrger! naïve42 l'été «où» ßß", "﻿x y",
 ]
 
 
@@ -76,7 +76,7 @@ def test_token_block_edges(spark, tmp_path, monkeypatch):
     rows = [(None, "no id"), (1, "same"), (1, "same"), (2, None), (3, ""), (5, long), (9, "żółć 日本 \U0001f600")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     docs = docs.select("*", *[F.lit(1).alias(c) for c in ("key", "row", "piece", "part", "start", "ids")])
-    monkeypatch.setattr(token_blocks, "PART_IDS", 250_000)  # several range partitions
+    monkeypatch.setattr(token_blocks, "PART_BYTES", 250_000)  # several range partitions
     path = f"{tmp_path}/blocks"
     token_blocks.write_token_blocks(docs, path, BYTE_VOCABULARY)
     found = [tuple(r) for r in token_blocks.read_documents(spark, path).orderBy("start").collect()]
