@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from firmloom.functions.text import blank, blank_na
 from firmloom.operators.ordinals import file_ordinal
+from firmloom.sources.csv_records import read_csv
 
 
 def read_register(
@@ -17,11 +18,13 @@ def read_register(
 
     `fmt` is parquet or csv; without it the path's ending decides. Only the
     requested columns are read. CSV columns are all strings; `multi_line` admits
-    line breaks inside cells at the price of one task per file.
+    line breaks inside cells, files are split all the same.
     """
     fmt = fmt or ("csv" if path.rstrip("/").endswith((".csv", ".csv.gz")) else "parquet")
-    if fmt == "csv":
-        df = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
+    if fmt == "csv" and multi_line:
+        df = read_csv(spark, path)
+    elif fmt == "csv":
+        df = spark.read.csv(path, header=True, escape='"')
     else:
         df = spark.read.format(fmt).load(path)
     df = df.select(*(columns or df.columns))
@@ -34,14 +37,17 @@ def read_member_list(
     """A company list from CSV: strings only, missing-value tokens blanked.
 
     Rows carry their place in the file, which decides which duplicate is kept.
-    `multi_line` admits line breaks inside cells at the price of one task per
-    file.
+    `multi_line` admits line breaks inside cells, files are split all the same.
     """
-    df = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
-    cells = [blank_na(f"`{c}`").alias(c) for c in df.columns]
-    if ordinal is None:
-        return df.select(*cells)
-    return file_ordinal(df, ordinal).select(ordinal, *cells)
+    if multi_line:
+        df = read_csv(spark, path, ordinal)
+        names = [c for c in df.columns if c != ordinal]
+    else:
+        df = spark.read.csv(path, header=True, escape='"')
+        names = df.columns
+        df = df if ordinal is None else file_ordinal(df, ordinal)
+    own = [] if ordinal is None else [ordinal]
+    return df.select(*own, *[blank_na(f"`{c}`").alias(c) for c in names])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:

@@ -1,20 +1,24 @@
 """Entity, relationship and exception records from XML files of any size.
 
-Files are cut at the record tag, so one file is read by many tasks; every
-fragment is parsed on its own and a bad one costs one record. Tag prefixes are
-ignored. Where an element repeats, its first occurrence counts.
+One file is read by many tasks (`splits`): text is cut at the record tag, and each split knows whether
+it starts inside a record, a comment, a CDATA section or a processing instruction, so that tags in
+those are no tags. Every record is parsed on its own and a bad one costs one record. Tag prefixes
+are ignored. Where an element repeats, its first occurrence counts.
+
+A file in which no tag ends in the record's name and `>` (all have white space or attributes there)
+is read as one piece.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from firmloom.functions.names import clean_name, entity_country
 from firmloom.functions.text import text_or_null
-from firmloom.operators.ordinals import FILE, SEEN, START, number_by_split, scan_positions
+from firmloom.operators.ordinals import FILE
+from firmloom.sources.xml_cutter import cut_records, split_table
 
-_PREFIX = r"(?:[\w.-]+:)?"
 _BROKEN = "_broken"
 _OPTIONS = {
     "ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BROKEN,
@@ -52,29 +56,9 @@ def _first(path: str) -> Column:
     return text_or_null(column)
 
 
-def _fragments(spark: SparkSession, path: str, tag: str, header: str) -> DataFrame:
-    """Record bodies and header pieces with their place in the files."""
-    text = spark.read.option("lineSep", f"{tag}>").text(path)
-    return scan_positions(
-        text.where(
-            F.col("value").rlike(f"</{_PREFIX}$") | F.col("value").contains(f"{header}>")
-        ),
-        "value",
-        F.col("_metadata.file_name").alias("source_file"),
-    ).withColumn("_is_record", F.col("value").rlike(f"</{_PREFIX}$"))
-
-
-def _header_text(value: Column, header: str) -> Column:
-    """Header element without prefixes, as `<r>…</r>`; null in other fragments."""
-    inner = F.regexp_extract(
-        value, rf"(?s)<{_PREFIX}{header}(?:\s[^>]*)?>(.*?)</{_PREFIX}{header}>", 1
-    )
-    return F.when(value.contains(f"{header}>"), F.concat(F.lit("<r>"), inner, F.lit("</r>")))
-
-
-def _header_leaf(value: Column, header: str, fields: list[str]) -> Column:
-    schema = ", ".join(f"{f} {_TEXT}" for f in fields)
-    return F.from_xml(_header_text(value, header), schema, _OPTIONS)
+def _header_leaf(header: Column, fields: list[str]) -> Column:
+    """Leaf texts of a header element, `<r>…</r>`."""
+    return F.from_xml(header, ", ".join(f"{f} {_TEXT}" for f in fields), _OPTIONS)
 
 
 def read_header(
@@ -85,17 +69,10 @@ def read_header(
     tag: str = ENTITY_TAG,
 ) -> DataFrame:
     """One row per file: leaf texts of its first header element."""
-    leaf = _header_leaf(F.col("value"), header, list(fields))
-    # a header stands in front of the records, so only first splits are looked at
-    found = (
-        _fragments(spark, path, tag, header)
-        .where((F.col(START) == 0) & F.col("value").contains(f"{header}>"))
-        .withColumn("_leaf", leaf)
-    )
+    found = split_table(spark, path, tag, header).where(F.col("_note").isNotNull())
+    found = found.withColumn("_leaf", _header_leaf(F.col("_note"), list(fields)))
     columns = [text_or_null(F.try_element_at(F.col("_leaf")[f], F.lit(-1))).alias(f) for f in fields]
-    found = found.select(FILE, SEEN, "source_file", *columns)
-    best = found.groupBy(FILE).agg(F.min_by(F.struct("source_file", *fields), SEEN).alias("_h"))
-    return best.select("_h.*")
+    return found.select(F.col("_name").alias("source_file"), *columns)
 
 
 def snapshot_date(
@@ -107,53 +84,46 @@ def snapshot_date(
     )
 
 
-def _records(spark: SparkSession, path: str, tag: str, header: str, schema: str) -> DataFrame:
-    """Parsed records with ordinal, snapshot date and file; bad ones included."""
-    scan = _fragments(spark, path, tag, header)
-    date = F.try_element_at(_header_leaf(F.col("value"), header, ["ContentDate"])["ContentDate"], F.lit(-1))
-    # one pass over the text gives both the split offsets and the header date
-    blocks = scan.groupBy(FILE, START).agg(
-        F.count_if("_is_record").alias("_n"),
-        F.min(F.when(F.col("_is_record"), F.col(SEEN))).alias("_first"),
-        F.min(text_or_null(date)).alias("_date"),
+def _records(
+    spark: SparkSession, path: str, tag: str, header: str, schema: str, counters: Observation | None = None
+) -> DataFrame:
+    """Parsed records with ordinal, snapshot date and file; bad ones and, without an ordinal, those
+    that are never closed included. `counters` sees them as they pass."""
+    table = split_table(spark, path, tag, header)
+    cut = cut_records(spark, path, tag, table)
+    date = F.try_element_at(_header_leaf(F.col("_note"), ["ContentDate"])["ContentDate"], F.lit(-1))
+    # one row a file
+    files = table.groupBy(FILE).agg(
+        F.min("_name").alias("source_file"), F.min(text_or_null(date)).alias("source_snapshot_date")
     )
-    dated = blocks.join(
-        blocks.groupBy(FILE).agg(F.min("_date").alias("source_snapshot_date")), FILE
-    ).drop("_date")
-    numbered = number_by_split(scan.where("_is_record"), dated, "row_id")
-    body = F.regexp_replace("value", f"</{_PREFIX}$", "")
-    # a start tag with attributes is still in front of the body
-    body = F.when(
-        body.contains(f"{tag} "),
-        F.regexp_replace(body, rf"(?s)^.*?<{_PREFIX}{tag}\s[^>]*>", ""),
-    ).otherwise(body)
     record = F.from_xml(
-        F.concat(F.lit("<r>"), body, F.lit("</r>")), f"{schema}, {_BROKEN} string", _OPTIONS
+        F.concat(F.lit("<r>"), "body", F.lit("</r>")), f"{schema}, {_BROKEN} string", _OPTIONS
     )
     # explode keeps the parser from being planned again in filters above
-    return numbered.select(
-        "row_id", "source_snapshot_date", "source_file", F.explode(F.array(record)).alias("_record")
+    parsed = cut.join(F.broadcast(files), FILE, "left").select(
+        "row_id", "source_snapshot_date", "source_file", "body", F.explode(F.array(record)).alias("_record")
+    )
+    if counters is None:
+        return parsed
+    sound = F.col("row_id").isNotNull() & F.col(f"_record.{_BROKEN}").isNull()
+    return parsed.observe(
+        counters, F.count("*").alias("rows_seen"), F.count_if(sound).alias("rows_written"),
+        F.count_if(~sound).alias("skipped_rows"),
     )
 
 
 def count_unclosed(spark: SparkSession, path: str, tag: str = ENTITY_TAG) -> int:
-    """Records that are opened and never closed, as at the end of a truncated file.
-
-    One counting pass; such a record has no row and no number.
-    """
-    text = spark.read.option("lineSep", f"{tag}>").text(path)
-    opened = F.col("value").rlike(f"<{_PREFIX}$").cast("int") + F.col("value").rlike(
-        rf"<{_PREFIX}{tag}\s"
-    ).cast("int")
-    closed = F.col("value").rlike(f"</{_PREFIX}$").cast("int")
-    return max(0, text.agg(F.sum(opened - closed)).first()[0] or 0)
+    """Records that are opened and never closed, as at the end of a truncated file; each file counts
+    for itself."""
+    table = split_table(spark, path, tag, _HEADERS.get(tag, ""))
+    return cut_records(spark, path, tag, table).where("row_id is null").count()
 
 
 def _sound(records: DataFrame, on_bad: str, path: str, tag: str) -> DataFrame:
     """Readable records. With `on_bad` "fail", a bad one stops the job and an unclosed one the call."""
     broken = F.col(f"_record.{_BROKEN}")
     if on_bad == "skip":
-        return records.where(broken.isNull())
+        return records.where(F.col("row_id").isNotNull() & broken.isNull())
     if on_bad != "fail":
         raise ValueError(f"on_bad must be skip or fail, not {on_bad}")
     if unclosed := count_unclosed(records.sparkSession, path, tag):
@@ -164,13 +134,14 @@ def _sound(records: DataFrame, on_bad: str, path: str, tag: str) -> DataFrame:
 
 def read_entities_xml(
     spark: SparkSession, path: str, tag: str = ENTITY_TAG, header: str = ENTITY_HEADER,
-    on_bad: str = "skip",
+    on_bad: str = "skip", counters: Observation | None = None,
 ) -> DataFrame:
     """Legal entities with cleaned names, one row per record.
 
-    Bad records are left out (`parse_counters` counts them), or stop the job with `on_bad` "fail".
+    Bad records are left out, or stop the job with `on_bad` "fail". `counters`, an Observation, holds
+    rows_seen, rows_written and skipped_rows after the first action on the result.
     """
-    rows = _sound(_records(spark, path, tag, header, _ENTITY), on_bad, path, tag).select(
+    rows = _sound(_records(spark, path, tag, header, _ENTITY, counters), on_bad, path, tag).select(
         "row_id",
         _first("LEI").alias("lei"),
         _first("Entity.LegalName").alias("legal_name"),
@@ -205,10 +176,10 @@ def first_period(field: str) -> Column:
 
 def read_relationships_xml(
     spark: SparkSession, path: str, tag: str = RELATION_TAG, header: str = RELATION_HEADER,
-    on_bad: str = "skip",
+    on_bad: str = "skip", counters: Observation | None = None,
 ) -> DataFrame:
     """Parent and child per relationship; the start node is the child."""
-    return _sound(_records(spark, path, tag, header, _RELATION), on_bad, path, tag).select(
+    return _sound(_records(spark, path, tag, header, _RELATION, counters), on_bad, path, tag).select(
         "row_id",
         _first("Relationship.EndNode.NodeID").alias("parent_lei"),
         _first("Relationship.StartNode.NodeID").alias("child_lei"),
@@ -227,12 +198,12 @@ def read_exceptions_xml(
     path: str | None,
     tag: str = EXCEPTION_TAG,
     header: str = EXCEPTION_HEADER,
-    on_bad: str = "skip",
+    on_bad: str = "skip", counters: Observation | None = None,
 ) -> DataFrame | None:
     """Reporting exceptions; without a path there is nothing to read."""
     if path is None:
         return None
-    return _sound(_records(spark, path, tag, header, _EXCEPTION), on_bad, path, tag).select(
+    return _sound(_records(spark, path, tag, header, _EXCEPTION, counters), on_bad, path, tag).select(
         "row_id",
         _first("LEI").alias("lei"),
         _first("ExceptionCategory").alias("exception_category"),
@@ -250,19 +221,24 @@ _HEADERS = {
 
 
 def parse_counters(spark: SparkSession, path: str, tag: str = ENTITY_TAG) -> DataFrame:
-    """One row: records seen, written, and skipped as unreadable or not closed."""
-    records = _records(spark, path, tag, _HEADERS[tag], _SCHEMAS[tag])
-    broken = F.col(f"_record.{_BROKEN}").isNotNull()
-    unclosed = count_unclosed(spark, path, tag)
-    return records.agg(
-        (F.count("*") + unclosed).alias("rows_seen"),
-        F.count_if(~broken).alias("rows_written"),
-        (F.count_if(broken) + unclosed).alias("skipped_rows"),
-    )
+    """One row: records seen, written, and skipped as unreadable or not closed.
+
+    The counters of one reading pass: the records go to a sink that discards them. To have them from
+    a pass that writes, give `counters` to the reader.
+    """
+    counters = Observation()
+    _records(spark, path, tag, _HEADERS[tag], _SCHEMAS[tag], counters).write.format("noop").mode("overwrite").save()
+    seen = counters.get
+    return spark.range(1).select(*[F.lit(seen[c]).cast("long").alias(c) for c in ("rows_seen", "rows_written", "skipped_rows")])
 
 
 def bad_records(spark: SparkSession, path: str, tag: str = ENTITY_TAG, n: int = 20) -> DataFrame:
-    """The first n unreadable records with number, file and text."""
+    """The first n unreadable records with number, file and text; then those that are never closed,
+    which have no number."""
     records = _records(spark, path, tag, _HEADERS[tag], _SCHEMAS[tag])
-    text = F.col(f"_record.{_BROKEN}")
-    return records.where(text.isNotNull()).select("row_id", "source_file", text.alias("record")).orderBy("row_id").limit(n)
+    broken = F.col(f"_record.{_BROKEN}")
+    return (
+        records.where(broken.isNotNull() | F.col("row_id").isNull())
+        .select("row_id", "source_file", F.when(F.col("row_id").isNull(), F.col("body")).otherwise(broken).alias("record"))
+        .orderBy(F.col("row_id").asc_nulls_last(), "source_file").limit(n)
+    )

@@ -452,7 +452,7 @@ ORACLES: dict[str, str] = {
                lpad(cast(row_id % 7 as varchar), 3, '0') as registration_authority,
                concat('L', coalesce(country, '')) as legal_address_country,
                case when row_id % 2 = 0 then country end as headquarters_country,
-               (select d from latest) as source_snapshot_date
+               (select d from latest) as source_snapshot_date, 'part' as source_file
         from entity"""),
     "read_relationships_xml": sql(f"""
         select row_id, {code('E', 'l_suppkey')} as parent_lei, {code('E', 'l_partkey')} as child_lei,
@@ -462,7 +462,7 @@ ORACLES: dict[str, str] = {
                    as start_date,
                end_date,
                case when l_linenumber > 1 then 'FIRST' end as period_type,
-               (select d from latest) as source_snapshot_date
+               (select d from latest) as source_snapshot_date, 'part' as source_file
         from read_item"""),
     "first_period": sql("""
         select row_id, case when l_linenumber > 1 then cast(cast(l_shipdate as date) as varchar) end
@@ -473,7 +473,7 @@ ORACLES: dict[str, str] = {
     "read_exceptions_xml": sql(f"""
         select row_number() over (order by event_id) as row_id, {code('E', 'user_id')} as lei,
                upper(event_type) as exception_category, props as exception_reason,
-               case when event_id % 4 = 0 then concat('v', event_id % 9) end as next_version, (select d from latest) as source_snapshot_date
+               case when event_id % 4 = 0 then concat('v', event_id % 9) end as next_version, (select d from latest) as source_snapshot_date, 'part' as source_file
         from events"""),
     "snapshot_date": sql("""
         select d as "ContentDate", 'FULL' as "FileContent" from latest"""),
@@ -487,6 +487,9 @@ ORACLES: dict[str, str] = {
         select cast(doc_id as varchar) as doc_id,
                concat(chr(9), '  ', coalesce(text, ''), ' "q", \\', chr(10), ' ') as text
         from documents""",
+    "csv_split_list": """
+        select row_number() over (order by doc_id) as ordinal, cast(doc_id as varchar) as name,
+               md5(concat('<', coalesce(text, ''), '>')) as notes_md5 from documents""",
     "read_member_list": sql("""
         select row_number() over (order by page_id) as ordinal, trim(title) as name,
                lang as hq_location, url as web_link from title"""),

@@ -20,6 +20,16 @@ def _element(tag: str, content: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"<{tag}>"), content, F.lit(f"</{tag}>")), F.lit(""))
 
 
+def _disguised(tag: str, prefix: str) -> Column:
+    """By row, something that looks like tags of records and is none."""
+    name = f"{prefix}{tag}"
+    kinds = [
+        f"<!-- <{name}><{prefix}LEI>NONE</{prefix}LEI></{name}> -->", f"<?skip </{name}> ?>", "<!-- ]]> <![CDATA[ -->", "",
+    ]
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(len(kinds))).cast("int")
+    return F.get(F.array(*map(F.lit, kinds)), place)
+
+
 def _write(rows: DataFrame, order: list[str], record: Column, header: str, date: str, name: str) -> str:
     """Sorted files, each opening with its own header in front of the first record."""
     spark = rows.sparkSession
@@ -47,16 +57,17 @@ def entities(spark: SparkSession, sf_dir: str) -> str:
     half = F.col("row_id") % 2 == 0
     country = F.coalesce(_escape(F.col("country")), F.lit(" "))
     record = F.concat(
-        F.lit("<x:LEIRecord>\n "),
+        _disguised("LEIRecord", "x:"),
+        F.when(half, "<x:LEIRecord>\n ").otherwise("<x:LEIRecord kind='a>b' >\n "),
         _element("x:LEI", F.nullif("lei", F.lit(""))),
         F.lit('<x:Entity><x:LegalName xml:lang="en">\n '),
-        _escape(F.col("legal_name")),
+        F.when(half, F.concat(F.lit("<![CDATA["), F.col("legal_name"), F.lit("]]>"))).otherwise(_escape(F.col("legal_name"))),
         F.lit("\n</x:LegalName>"),
         _element("x:LegalAddress", _element("x:Country", F.concat(F.lit("L"), country))),
         F.when(half, _element("x:HeadquartersAddress", _element("x:Country", country))).otherwise(""),
         _element("x:RegistrationAuthority", _element("x:RegistrationAuthorityID", F.lpad((F.col("row_id") % 7).cast("string"), 3, "0"))),
         _element("x:EntityStatus", F.when(half, F.lit("ACTIVE")).otherwise("INACTIVE")),
-        F.lit("</x:Entity>\n</x:LEIRecord>"),
+        F.lit("</x:Entity>\n</x:LEIRecord"), F.when(F.col("row_id") % 5 == 0, " >").otherwise(">"),
     )
     return _write(rows, ["row_id"], record, "x:LEIHeader", latest_order(spark, sf_dir), "entities")
 
@@ -83,6 +94,7 @@ def relations(spark: SparkSession, sf_dir: str) -> str:
 
     number = F.col("l_linenumber")
     record = F.concat(
+        _disguised("RelationshipRecord", "y:"),
         F.lit("<y:RelationshipRecord><y:Relationship>"),
         _element("y:StartNode", _element("y:NodeID", fx.code("E", "l_partkey"))),
         _element("y:EndNode", _element("y:NodeID", fx.code("E", "l_suppkey"))),
@@ -107,6 +119,7 @@ def exceptions(spark: SparkSession, sf_dir: str) -> str:
     """Reporting exceptions of all events."""
     rows = fx.table(spark, sf_dir, "events")
     record = F.concat(
+        _disguised("Exception", ""),
         F.lit("<Exception>"),
         _element("LEI", fx.code("E", "user_id")),
         _element("ExceptionCategory", _escape(F.upper("event_type"))),
