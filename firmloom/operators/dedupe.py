@@ -38,13 +38,6 @@ def dedupe_keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return first_per_group(df, keys, [order])
 
 
-def repeated_rows(df: DataFrame, keys: list[Column], name: str) -> DataFrame:
-    """One-row count of rows that repeat an earlier row on `keys`."""
-    named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
-    groups = df.select(*named).groupBy(*[f"_k{i}" for i in range(len(keys))]).count()
-    return groups.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias(name))
-
-
 def head_sample(df: DataFrame, order: list[Column | str], n: int = 50) -> DataFrame:
     """First n rows in the given order."""
     return df.orderBy(*order).limit(n)

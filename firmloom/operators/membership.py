@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmloom.operators.dedupe import dedupe_keep_first
+from firmloom.operators.shared import shared
 from firmloom.operators.skew import Volume, measure, salted_join
 from firmloom.sources.lists import FLAGS, INSERT_NOTE, ListSpec
 
@@ -90,11 +91,12 @@ def new_members(
 class Merge:
     """Result of a merge.
 
-    `rows` is the merged list, in order of (list_no, ordinal) with the base as
+    `base` is the base as it was read, `rows` is the merged list, in order of (list_no, ordinal) with the base as
     list 0; `places` are just those two columns, which need no flags and so
     less work; `counts` are the rows matched, added and in total per list.
     """
 
+    base: DataFrame
     rows: DataFrame
     places: DataFrame
     counts: DataFrame
@@ -105,14 +107,17 @@ def merge_membership(
     lists: Sequence[tuple[ListSpec, DataFrame]],
     flags: Sequence[str] = FLAGS,
     volume: Volume | None = None,
+    scratch: str | None = None,
 ) -> Merge:
     """Merge lists into `base`, which has one row per clean name and country.
 
     Where the lists are small, only their names are sent to the base rows,
-    which stay in place.
+    which stay in place. With `scratch`, a folder every executor can reach, what several
+    steps read is written there once.
     """
     specs = [spec for spec, _ in lists]
-    incoming = stack_lists([df for _, df in lists])
+    base = shared(base, scratch, "base")
+    incoming = shared(stack_lists([df for _, df in lists]), scratch, "incoming")
     volume = volume or measure(incoming.select(*KEYS))
     small = volume.broadcastable
     # base keys whose name some list has
@@ -121,6 +126,7 @@ def merge_membership(
         known = base.select(*KEYS).join(F.broadcast(listed), NAME, "left_semi")
     else:
         known = salted_join(base.select(*KEYS), listed, [NAME], [COUNTRY])
+    known = shared(known, scratch, "known")
     exact = known.where(F.col(COUNTRY) != "")
     strict = incoming.join(exact, KEYS, "left_semi").groupBy(*KEYS).agg(*_marks(specs, "_s_"))
     loose = incoming.join(exact, KEYS, "left_anti").groupBy(NAME).agg(*_marks(specs, "_l_"))
@@ -139,9 +145,10 @@ def merge_membership(
     kept = _attach(kept, loose, [NAME], ["ordinal"], small).select(
         *[flagged(c) if c in own else F.col(c) for c in order]
     )
-    inserted = new_members(known, incoming, specs, flags, small)
+    inserted = shared(new_members(known, incoming, specs, flags, small), scratch, "inserted")
     places = base.select(F.lit(0).alias(LIST), "ordinal").union(inserted.select(LIST, "ordinal"))
     return Merge(
+        base,
         kept.unionByName(inserted.select(*order)),
         places,
         merge_counts(base, incoming, inserted, specs),

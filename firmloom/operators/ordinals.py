@@ -2,8 +2,7 @@
 
 Both functions count rows per block (a file split, or a range of an existing
 order), add up the counts of the preceding blocks, and number rows inside their
-block. Only the block table, one row per split or a bounded number of ranges,
-passes through a single task.
+block. Only the block table, one row per split or range, passes through a single task.
 """
 
 from __future__ import annotations
@@ -60,33 +59,67 @@ def file_ordinal(df: DataFrame, name: str = "row_id") -> DataFrame:
     return number_by_split(scan, blocks, name).select(name, *df.columns)
 
 
+class Blocks:
+    """Blocks of about equal size of each group's (integer, unique) order values, whatever the size.
+
+    Each group is cut at approximate quantiles into `ways` parts, each of these again, and so on, until
+    a part has at most `rows` rows; how often follows from the size of the largest group, which
+    one count looks up. A level's bounds are one row a part of the level above.
+    """
+
+    def __init__(self, places: DataFrame, group: str, order: str, rows: int, ways: int):
+        self.places, self.group, self.order, self.ways = places.select(group, order), group, order, ways
+        self.levels: list[tuple[list[str], DataFrame]] = []
+        size = self.places.groupBy(group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        depth = 1
+        # quantiles are approximate: a tenth is left for that
+        while size > 0.9 * rows * ways**depth:
+            depth += 1
+        for level in range(depth):
+            above = [group, *[f"_block{k}" for k in range(level)]]
+            shares = [k / ways for k in range(1, ways)]
+            bounds = self.cut(self.places).groupBy(*above).agg(F.percentile_approx(order, shares, 10_000).alias("_bounds"))
+            # ways rows above make the next level's table: the first two levels are small
+            self.levels.append((above, F.broadcast(bounds) if level < 2 else bounds))
+
+    @property
+    def keys(self) -> list[str]:
+        return [self.group, *[f"_block{k}" for k in range(len(self.levels))]]
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        """`df` with its block at every level."""
+        for level, (above, bounds) in enumerate(self.levels):
+            block = F.size(F.filter("_bounds", lambda b: b <= F.col(self.order)))
+            df = df.join(bounds, above).withColumn(f"_block{level}", block).drop("_bounds")
+        return df
+
+    def counts(self) -> DataFrame:
+        """Rows of each block."""
+        return self.cut(self.places).groupBy(*self.keys).agg(F.count("*").alias("_n"))
+
+
 def dense_ordinal(
     df: DataFrame,
     group: str,
     order: str,
     name: str,
     places: DataFrame | None = None,
-    blocks: int = 256,
+    rows: int = 1_000_000,
+    ways: int = 256,
 ) -> DataFrame:
     """Number rows from 1 by (group, order); `order` is an integer unique per group.
 
-    Each group is cut at approximate quantiles into at most `blocks` blocks of
-    about equal size, however sparse or uneven its order values are. `places`
-    may hold the same (group, order) rows where they are cheaper to get for
-    counting. Groups are few (lists), and their bounds are broadcast.
+    Rows are numbered inside blocks (`Blocks`) of at most `rows` rows, so no task sorts more, and the
+    counts of the blocks before are added. `places` may hold the same (group, order) rows where they
+    are cheaper to get for counting. Groups are few (lists).
     """
-    keys = [group, "_block"]
-    places = (df if places is None else places).select(group, order)
-    shares = [k / blocks for k in range(1, blocks)]
-    bounds = F.broadcast(places.groupBy(group).agg(F.percentile_approx(order, shares, 10_000).alias("_bounds")))
-    block = F.size(F.filter("_bounds", lambda b: b <= F.col(order))).alias("_block")
-    counted = places.join(bounds, group).select(group, block).groupBy(*keys).agg(F.count("*").alias("_n"))
-    offsets = preceding(counted, keys)
-    inside = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    blocks = Blocks(df if places is None else places, group, order, rows, ways)
+    offsets = preceding(blocks.counts(), blocks.keys).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*blocks.keys).orderBy(order))
     return (
-        df.join(bounds, group).withColumn("_block", block).drop("_bounds").join(offsets.drop("_n"), keys)
+        blocks.cut(df).join(offsets, blocks.keys)
         .withColumn(name, (inside + F.col("_offset")).cast("long"))
-        .drop("_block", "_offset")
+        .drop(*blocks.keys[1:], "_offset")
     )
 
 

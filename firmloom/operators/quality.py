@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from firmloom.functions.text import blank, strip
-from firmloom.operators.dedupe import repeated_rows
 
 
 def long_form(row: DataFrame) -> DataFrame:
@@ -24,19 +23,30 @@ def stack(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _sum(value: Column, name: str) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0)).alias(name)
+
+
+def entity_figures(entities: DataFrame, rows: bool = False) -> DataFrame:
+    """Repeated and blank LEIs, with `rows` also the rows, in one row from one scan and grouping."""
+    groups = entities.groupBy(blank("lei").alias("lei")).agg(F.count("*").alias("n"))
+    own = [_sum(F.col("n"), "entities_rows")] if rows else []
+    missing = F.when(strip(F.col("lei")) == "", F.col("n")).otherwise(0)
+    return groups.agg(
+        *own, _sum(F.col("n") - 1, "duplicate_leis_in_entities"), _sum(missing, "missing_lei_in_entities")
+    )
+
+
+def edge_figures(edges: DataFrame, rows: bool = False) -> DataFrame:
+    """Repeated edges, with `rows` also the rows, in one row from one scan and grouping."""
+    groups = edges.groupBy("firm_i", "firm_j", "relation_type", "year").agg(F.count("*").alias("n"))
+    own = [_sum(F.col("n"), "edges_rows")] if rows else []
+    return groups.agg(*own, _sum(F.col("n") - 1, "duplicate_edges"))
+
+
 def quality_checks(entities: DataFrame, edges: DataFrame) -> DataFrame:
     """Repeated LEIs, blank LEIs and repeated edges, as (metric, value) rows."""
-    lei = blank("lei")
-    edge_keys = [F.col(c) for c in ("firm_i", "firm_j", "relation_type", "year")]
-    return stack(
-        [
-            long_form(repeated_rows(entities, [lei], "duplicate_leis_in_entities")),
-            long_form(
-                entities.agg(F.count_if(strip(lei) == "").alias("missing_lei_in_entities"))
-            ),
-            long_form(repeated_rows(edges, edge_keys, "duplicate_edges")),
-        ]
-    )
+    return stack([long_form(entity_figures(entities)), long_form(edge_figures(edges))])
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

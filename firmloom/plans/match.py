@@ -17,6 +17,7 @@ from firmloom.operators.blocking import (
 )
 from firmloom.operators.checks import nonblank, require_columns
 from firmloom.operators.scoring import score_candidates
+from firmloom.operators.shared import shared
 from firmloom.operators.skew import Volume, measure, salted_join
 from firmloom.operators.whole_blocks import whole_block_matches
 
@@ -74,16 +75,18 @@ def match_table(
     review: float = REVIEW_THRESHOLD,
     volume: Volume | None = None,
     countries: DataFrame | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Every source with its exact match, best candidates, score and status, and whether
     its block held more rows than are scored (`block_cut`).
 
     Equal (name, country) pairs are scored once. Write this table before
-    deriving several results from it; each derivation would compute it again.
+    deriving several results from it; each derivation would compute it again. With `scratch`, a
+    folder every executor can reach, cleaned names of both sides are written there once.
     """
-    prepared = prepare_sources(sources, countries)
+    prepared = shared(prepare_sources(sources, countries), scratch, "sources")
     volume = volume or measure(prepared.select(*SOURCE))
-    register = prepare_entities(entities)
+    register = shared(prepare_entities(entities), scratch, "register")
     if rules.max_candidates is None:
         scored = whole_block_matches(prepared, register, rules, top_k, volume)
     else:
@@ -166,17 +169,30 @@ def review_candidates(matches: DataFrame) -> DataFrame:
     )
 
 
-def match_summary(walk: DataFrame) -> DataFrame:
-    """Counts per status and the share of automatic matches."""
+def _summary() -> list[Column]:
     n = F.count("*")
     auto = F.count_if(F.col("match_status") == "auto")
-    return walk.agg(
+    return [
         n.alias("n_source"),
         auto.alias("n_auto"),
         F.count_if(F.col("match_status") == "review").alias("n_review"),
         F.count_if(F.col("match_status") == "unmatched").alias("n_unmatched"),
         F.when(n > 0, auto / n).otherwise(0.0).alias("overall_auto_rate"),
-    )
+    ]
+
+
+def _distribution(prefix: str = "") -> list[Column]:
+    score = F.col("match_score")
+    found = {
+        "min": F.min(score), "p25": F.percentile(score, 0.25), "median": F.percentile(score, 0.5),
+        "p75": F.percentile(score, 0.75), "max": F.max(score),
+    }
+    return [c.alias(prefix + name) for name, c in found.items()]
+
+
+def match_summary(walk: DataFrame) -> DataFrame:
+    """Counts per status and the share of automatic matches."""
+    return walk.agg(*_summary())
 
 
 def score_distribution(walk: DataFrame) -> DataFrame:
@@ -185,14 +201,12 @@ def score_distribution(walk: DataFrame) -> DataFrame:
     Spark's exact percentile keeps one counter per distinct score, and scores
     are ratios of short lengths, so the state stays small at any row count.
     """
-    score = F.col("match_score")
-    return walk.agg(
-        F.min(score).alias("min"),
-        F.percentile(score, 0.25).alias("p25"),
-        F.percentile(score, 0.5).alias("median"),
-        F.percentile(score, 0.75).alias("p75"),
-        F.max(score).alias("max"),
-    )
+    return walk.agg(*_distribution())
+
+
+def match_figures(walk: DataFrame) -> DataFrame:
+    """Summary and score distribution (`match_score_…`) in one row from one scan."""
+    return walk.agg(*_summary(), *_distribution("match_score_"))
 
 
 def match_sources(
@@ -200,11 +214,8 @@ def match_sources(
 ) -> tuple[DataFrame, DataFrame]:
     """Crosswalk and review candidates.
 
-    With `scratch`, a path every executor can reach, the match table is written
-    there once and both results read it; otherwise each computes it.
+    With `scratch`, a folder every executor can reach, cleaned names and the match table are
+    written there once and both results read it; otherwise each computes it.
     """
-    matches = match_table(sources, entities, **options)
-    if scratch is not None:
-        matches.write.mode("overwrite").parquet(scratch)
-        matches = sources.sparkSession.read.parquet(scratch)
+    matches = shared(match_table(sources, entities, scratch=scratch, **options), scratch, "matches")
     return crosswalk(matches), review_candidates(matches)

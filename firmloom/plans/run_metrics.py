@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmloom.operators.quality import long_form, quality_checks, row_counts, stack
-from firmloom.plans.match import match_summary, score_distribution
+from firmloom.operators.quality import edge_figures, entity_figures, long_form, row_counts, stack
+from firmloom.plans.match import match_figures
 
 
 def run_metrics(
@@ -23,12 +23,12 @@ def run_metrics(
     `build` holds (metric, value) rows, `counters` one-row tables of rows seen,
     written and skipped by name of the parse.
     """
-    tables = {
-        "entities": entities, "relationships": relations, "nodes": nodes, "edges": edges,
-    }
-    parts = [row_counts(tables), quality_checks(entities, edges)]
+    parts = [
+        long_form(entity_figures(entities, rows=True)), long_form(edge_figures(edges, rows=True)),
+        row_counts({"relationships": relations, "nodes": nodes}),
+    ]
     if walk is not None:
-        parts += [long_form(match_summary(walk)), _prefixed("match_score", score_distribution(walk))]
+        parts.append(long_form(match_figures(walk)))
     if build is not None:
         parts.append(build.select("metric", F.col("value").cast("double").alias("value")))
     for name, row in (counters or {}).items():

@@ -22,11 +22,12 @@ def _merged(
     specs: Sequence[ListSpec] = MEMBER_SPECS,
     volume: Volume | None = None,
     keep_blank_names: bool = False,
-) -> tuple[DataFrame, DataFrame, Merge]:
+    scratch: str | None = None,
+) -> tuple[DataFrame, Merge]:
     frame = member_frame(base, base_spec, accessed)
     members = [(s, member_frame(df, s, accessed)) for s, df in zip(specs, lists, strict=True)]
     unique = dedupe_members(frame, keep_blank_names)
-    return frame, unique, merge_membership(unique, members, volume=volume)
+    return frame, merge_membership(unique, members, volume=volume, scratch=scratch)
 
 
 def build_source_list(
@@ -36,9 +37,10 @@ def build_source_list(
 
     Every input needs an `ordinal` column with its row order. The base is
     unique after deduplication and inserts bring new names, so the result
-    needs no second deduplication.
+    needs no second deduplication. With `scratch`, a folder every executor can reach, cleaned
+    lists are written there once instead of being cleaned for every step.
     """
-    _, _, merge = _merged(base, lists, accessed, **options)
+    _, merge = _merged(base, lists, accessed, **options)
     return dense_ordinal(merge.rows, LIST, "ordinal", "_place", merge.places).select(
         surrogate_id("_place").alias("source_id"),
         "source_name",
@@ -55,13 +57,13 @@ def build_counts(
     base: DataFrame, lists: Sequence[DataFrame], accessed: str, **options
 ) -> DataFrame:
     """Row counts of the build as (metric, value) rows."""
-    frame, unique, merge = _merged(base, lists, accessed, **options)
+    frame, merge = _merged(base, lists, accessed, **options)
     specs = options.get("specs", MEMBER_SPECS)
     tables = {
         "base_raw_rows": base,
         **{f"{spec.flag}_raw_rows": df for spec, df in zip(specs, lists)},
         "base_rows_before_dedupe": frame,
-        "base_rows_after_dedupe": unique,
+        "base_rows_after_dedupe": merge.base,
         "final_rows": merge.places,
     }
     totals = [

@@ -335,7 +335,9 @@ def match_crosswalk_large(spark, sf_dir):
 
 @query
 def match_page_titles(spark, sf_dir):
-    found = match.match_table(fx.title_source(spark, sf_dir), fx.text_entity(spark, sf_dir))
+    found = match.match_table(
+        fx.title_source(spark, sf_dir), fx.text_entity(spark, sf_dir), scratch=scratch_path(spark, "titles")
+    )
     return rounded(match.crosswalk(found), "match_score")
 
 
@@ -468,7 +470,7 @@ def _merge(spark, sf_dir, count):
     unique = membership.dedupe_members(lists.member_frame(base, lists.BASE_SPEC, ACCESSED))
     specs = lists.MEMBER_SPECS[:count]
     frames = [(s, lists.member_frame(df, s, ACCESSED)) for s, df in zip(specs, members)]
-    return membership.merge_membership(unique, frames)
+    return membership.merge_membership(unique, frames, scratch=scratch_path(spark, "merge"))
 
 
 @query
@@ -492,7 +494,7 @@ def merge_counts(spark, sf_dir):
 
 @query
 def build_source_list(spark, sf_dir):
-    return source_list.build_source_list(*_list_inputs(spark, sf_dir), ACCESSED)
+    return source_list.build_source_list(*_list_inputs(spark, sf_dir), ACCESSED, scratch=scratch_path(spark, "build"))
 
 
 @query
@@ -504,7 +506,7 @@ def build_source_list_large(spark, sf_dir):
 
 @query
 def build_counts(spark, sf_dir):
-    return source_list.build_counts(*_list_inputs(spark, sf_dir), ACCESSED)
+    return source_list.build_counts(*_list_inputs(spark, sf_dir), ACCESSED, scratch=scratch_path(spark, "build"))
 
 
 # ---- network
@@ -674,8 +676,9 @@ def all_run_metrics(spark, sf_dir):
     relation = fx.relation(spark, sf_dir)
     entity = fx.node_entity(spark, sf_dir)
     nodes, edges = build_network(entity, relation)
-    walk = match.crosswalk(_matches(spark, sf_dir))
-    build = source_list.build_counts(*_list_inputs(spark, sf_dir), ACCESSED)
+    scratch = scratch_path(spark, "run")
+    walk, _ = match.match_sources(fx.source(spark, sf_dir), fx.entity(spark, sf_dir), scratch=f"{scratch}/match")
+    build = source_list.build_counts(*_list_inputs(spark, sf_dir), ACCESSED, scratch=f"{scratch}/build")
     parsed = xml_records.parse_counters(spark, xml_files.relations(spark, sf_dir), xml_records.RELATION_TAG)
     metrics = run_metrics(entity, relation, nodes, edges, walk, build, {"level2": parsed})
     return rounded(metrics, "value")

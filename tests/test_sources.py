@@ -8,7 +8,7 @@ import xml.etree.ElementTree as ElementTree
 import pytest
 from pyspark.sql import Observation
 
-from firmloom.operators.ordinals import dense_ordinal
+from firmloom.operators.ordinals import Blocks, dense_ordinal
 from firmloom.sources import csv_records, splits, tables, xml_records as xml
 
 
@@ -155,15 +155,22 @@ def test_empty_table_keeps_its_columns(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "t"), header=True).columns == ["a", "b"]
 
 
-def test_dense_ordinal_blocks_are_bounded(spark):
-    df = spark.range(5000).selectExpr("cast(id % 2 as int) g", "id * 1000000007 as o")
-    numbered = dense_ordinal(df, "g", "o", "n", blocks=10)
+@pytest.mark.parametrize("rows, depth", [(1000, 1), (200, 2), (45, 3)])
+def test_ordinal_blocks_hold_few_rows(spark, rows, depth):
+    """However many rows there are: more levels of blocks, not larger ones."""
+    df = spark.range(5000).selectExpr("cast(id % 2 as int) g", "if(id < 4000, id, id * 1000000007) as o")
+    blocks = Blocks(df, "g", "o", rows, 4)
+    assert len(blocks.levels) == depth
+    counts = blocks.counts().collect()
+    assert max(r._n for r in counts) <= rows and sum(r._n for r in counts) == 5000
+    numbered = dense_ordinal(df, "g", "o", "n", rows=rows, ways=4)
     assert [r.n for r in numbered.orderBy("g", "o").collect()] == list(range(1, 5001))
+    assert dense_ordinal(df.limit(0), "g", "o", "n").collect() == []
 
 
 def test_dense_ordinal_is_contiguous(spark):
     df = spark.range(3000).selectExpr("cast(id % 3 as int) g", "id * id as o")
-    rows = dense_ordinal(df, "g", "o", "n", blocks=20).orderBy("g", "o").collect()
+    rows = dense_ordinal(df, "g", "o", "n", rows=200, ways=20).orderBy("g", "o").collect()
     assert [r.n for r in rows] == list(range(1, 3001))
 
 
