@@ -66,6 +66,40 @@ def prepare_entities(entities: DataFrame) -> DataFrame:
     )
 
 
+def match_pairs(
+    pairs: DataFrame, register: DataFrame, rules: BlockingRules, top_k: int, volume: Volume
+) -> DataFrame:
+    """Distinct filled (name, country) pairs with block, exact match and best candidates."""
+    if rules.max_candidates is None:
+        scored = whole_block_matches(pairs, register, rules, top_k, volume)
+    else:
+        scored = score_candidates(candidate_sets(pairs, register, rules, volume), top_k)
+    return scored.select(*SOURCE, "block_level", "block_cut", "exact", "top")
+
+
+def joined_matches(
+    prepared: DataFrame, scored: DataFrame, volume: Volume,
+    auto: float = AUTO_THRESHOLD, review: float = REVIEW_THRESHOLD,
+) -> DataFrame:
+    """Prepared sources with the results of their pairs, score, method and status."""
+    if volume.broadcastable:
+        joined = prepared.join(scored, SOURCE, "left")
+    else:
+        joined = salted_join(prepared, scored, SOURCE, ["source_id"], "left")
+    best = F.get("top", F.lit(0))
+    score = F.when(F.col("exact").isNotNull(), 100.0).otherwise(best["combined_score"])
+    method = (
+        F.when(F.col("exact").isNotNull(), "exact").when(best.isNotNull(), "fuzzy").otherwise("none")
+    )
+    status = F.when(F.col("exact").isNotNull(), "auto").otherwise(match_status(score, auto, review))
+    return (
+        joined.withColumn("match_score", score)
+        .withColumn("match_method", method)
+        .withColumn("match_status", status)
+        .withColumn("blocking_keys", blocking_label("country_norm", "name_clean"))
+    )
+
+
 def match_table(
     sources: DataFrame,
     entities: DataFrame,
@@ -87,27 +121,7 @@ def match_table(
     prepared = shared(prepare_sources(sources, countries), scratch, "sources")
     volume = volume or measure(prepared.select(*SOURCE))
     register = shared(prepare_entities(entities), scratch, "register")
-    if rules.max_candidates is None:
-        scored = whole_block_matches(prepared, register, rules, top_k, volume)
-    else:
-        scored = score_candidates(candidate_sets(prepared, register, rules, volume), top_k)
-    scored = scored.select(*SOURCE, "block_level", "block_cut", "exact", "top")
-    if volume.broadcastable:
-        joined = prepared.join(scored, SOURCE, "left")
-    else:
-        joined = salted_join(prepared, scored, SOURCE, ["source_id"], "left")
-    best = F.get("top", F.lit(0))
-    score = F.when(F.col("exact").isNotNull(), 100.0).otherwise(best["combined_score"])
-    method = (
-        F.when(F.col("exact").isNotNull(), "exact").when(best.isNotNull(), "fuzzy").otherwise("none")
-    )
-    status = F.when(F.col("exact").isNotNull(), "auto").otherwise(match_status(score, auto, review))
-    return (
-        joined.withColumn("match_score", score)
-        .withColumn("match_method", method)
-        .withColumn("match_status", status)
-        .withColumn("blocking_keys", blocking_label("country_norm", "name_clean"))
-    )
+    return joined_matches(prepared, match_pairs(prepared, register, rules, top_k, volume), volume, auto, review)
 
 
 def crosswalk(matches: DataFrame) -> DataFrame:

@@ -217,3 +217,16 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("reason "), (F.col("doc_id") % 5).cast("string")))
         .alias("notes"),
     )
+
+
+def ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chains of owners from all orders: up to 63 steps, some companies with two owners, some circles."""
+    key, place = F.col("o_orderkey"), F.col("o_orderkey") % 64
+    block = F.floor(key / 64) % 10
+    owners = F.array(
+        F.when(place > 0, key - 1).when(block == 3, key + 5),
+        F.when((place > 1) & (F.col("o_orderstatus") == "F"), key - 2),
+        F.when((block == 7) & (place == 5), key + 3),
+    )
+    rows = table(spark, sf_dir, "orders").select(key.alias("key"), F.explode(owners).alias("owner"))
+    return rows.where("owner is not null").select(code("E", "key").alias("firm_i"), code("E", "owner").alias("firm_j"))

@@ -620,6 +620,20 @@ ORACLES: dict[str, str] = {
                                   7, '0')) as source_id, {LIST_COLUMNS},
                '{ACCESSED}' as source_accessed_date from merged"""),
     "build_counts": "",
+    "ultimate_owners": f"""
+        with recursive step as materialized (
+          select distinct {code('E', 'k')} as lei, {code('E', 'o')} as via from (
+            select o_orderkey as k, unnest([
+              case when o_orderkey % 64 > 0 then o_orderkey - 1 when o_orderkey // 64 % 10 = 3 then o_orderkey + 5 end,
+              case when o_orderkey % 64 > 1 and o_orderstatus = 'F' then o_orderkey - 2 end,
+              case when o_orderkey // 64 % 10 = 7 and o_orderkey % 64 = 5 then o_orderkey + 3 end]) as o
+            from orders) where o is not null),
+        reach as (select lei, via from step union select r.lei, s.via from reach r join step s on s.lei = r.via),
+        circle as (select distinct r.lei from reach r join reach c on c.lei = r.via and c.via = r.via
+                   union select lei from reach where lei = via),
+        tops as (select lei, via from reach where via not in (select lei from step))
+        select lei, via as owner, lei in (select lei from circle) as circular from tops
+        union all select distinct lei, cast(null as varchar), true from step where lei not in (select lei from tops)""",
     "in_relationships": sql("select * from node"),
     "nodes_in_network": sql("select * from node where lei in (select lei from firm)"),
     "missing_nodes": sql("select lei from missing"),
@@ -728,5 +742,6 @@ ORACLES["all_run_metrics"] = sql(
     {"checked": "select lei from node"},
 )
 
+ORACLES["rematch_changed"] = ORACLES["match_crosswalk"]
 for _name in ("match_crosswalk", "block_candidates", "build_source_list"):
     ORACLES[f"{_name}_large"] = ORACLES[_name]

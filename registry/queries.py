@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from firmloom.functions import names, similarity
 from firmloom.functions.text import blank_na
-from firmloom.operators import blocking, checks, dedupe, evaluation, graph, membership, quality
+from firmloom.operators import blocking, checks, dedupe, evaluation, graph, membership, ownership, quality
 from firmloom.operators.ordinals import dense_ordinal, file_ordinal, surrogate_id
 from firmloom.operators.scoring import score_candidates, top_candidates
 from firmloom.operators.skew import Volume, measure
@@ -18,6 +18,7 @@ from firmloom.operators.whole_blocks import whole_block_matches
 from firmloom.plans import match, source_list
 from firmloom.plans.evaluate import evaluate_matches, review_samples
 from firmloom.plans.network import build_network, network_report
+from firmloom.plans.rematch import rematch, rematch_crosswalk
 from firmloom.plans.run_metrics import run_metrics
 from firmloom.sources import lists, tables, xml_records
 from registry import fixtures as fx
@@ -309,6 +310,20 @@ def fuzzy_match_whole(spark, sf_dir):
     return rounded(match.crosswalk(found), "match_score")
 
 
+@query
+def rematch_changed(spark, sf_dir):
+    """As match_crosswalk: a run on another register, then this one, in which only touched blocks are matched."""
+    source, entity = fx.source(spark, sf_dir), fx.entity(spark, sf_dir)
+    # before, some rows were not there, some had other names, and some sources were not asked for
+    before = entity.where(F.col("row_id") % 97 != 5).withColumn(
+        "legal_name_clean",
+        F.when(F.col("row_id") % 89 == 7, F.concat(F.lit("old "), "legal_name_clean")).otherwise(F.col("legal_name_clean")),
+    )
+    earlier, now = scratch_path(spark, "earlier"), scratch_path(spark, "now")
+    rematch(source.where("ord % 50 <> 3"), before, earlier)
+    return rounded(rematch_crosswalk(source, entity, now, earlier), "match_score")
+
+
 @query
 def top_scores_whole(spark, sf_dir):
     """The three best candidates of every source's whole block."""
@@ -631,6 +646,12 @@ def head_sample(spark, sf_dir):
     return dedupe.head_sample(fx.entity(spark, sf_dir), ["row_id"])
 
 
+@query
+def ultimate_owners(spark, sf_dir):
+    """Companies on top of the ownership chains."""
+    return ownership.ultimate_owners(fx.ownership(spark, sf_dir), scratch_path(spark, "owners"))
+
+
 # ---- evaluation and metrics
 
 
