@@ -30,30 +30,38 @@ PREFIX = r"(?:[\w.-]+:)?"
 HEADER_ROOM = 1 << 20
 
 
-def markup(tag: str) -> re.Pattern:
-    """Starts of comments, sections and instructions, and whole tags of the record element."""
-    attributes = r"""(?:[^"'<>]|"[^"]*"|'[^']*')*"""
-    return re.compile(rf"<!--|<!\[CDATA\[|<\?|<(?P<close>/?){PREFIX}{re.escape(tag)}(?=[\s/>]){attributes}>")
-
-
-def events(text: str, kind: int, pattern: re.Pattern) -> tuple[list[tuple[str, int, int]], int]:
-    """Record tags of a piece that starts in `kind`, as (open, close or empty; from; to), and the kind
-    that it ends in."""
-    found, at = [], 0
-    while True:
-        if kind:
-            at = text.find(ENDS[kind], at)
-            if at < 0:
-                return found, kind
-            kind, at = 0, at + len(ENDS[kind])
-        m = pattern.search(text, at)
-        if m is None:
-            return found, 0
-        begin, at = m.span()
-        kind = KINDS.get(m[0], 0)
-        if not kind:
-            what = "close" if m["close"] else "empty" if m[0][-2] == "/" else "open"
-            found.append((what, begin, at))
+class Markup:
+    """Finds record tags in pieces of text; a piece mostly ends in one and holds no other."""
+
+    def __init__(self, tag: str):
+        self.tag, self.separator = tag, f"{tag}>"
+        attributes = r"""(?:[^"'<>]|"[^"]*"|'[^']*')*"""
+        self.any = re.compile(rf"<!--|<!\[CDATA\[|<\?|<(?P<close>/?){PREFIX}{re.escape(tag)}(?=[\s/>]){attributes}>")
+        self.last = re.compile(rf"<(/?){PREFIX}")
+
+    def events(self, text: str, kind: int) -> tuple[list[tuple[str, int, int]], int]:
+        """Record tags of a piece that starts in `kind`, as (open, close or empty; from; to), and the
+        kind that it ends in."""
+        if not kind and "<!" not in text and "<?" not in text and text.count(self.tag) == 1 and text.endswith(self.separator):
+            name = len(text) - len(self.separator)
+            begin = text.rfind("<", 0, name)
+            m = self.last.fullmatch(text, begin, name) if begin >= 0 else None
+            return ([("close" if m[1] else "open", begin, len(text))] if m else []), 0
+        found, at = [], 0
+        while True:
+            if kind:
+                at = text.find(ENDS[kind], at)
+                if at < 0:
+                    return found, kind
+                kind, at = 0, at + len(ENDS[kind])
+            m = self.any.search(text, at)
+            if m is None:
+                return found, 0
+            begin, at = m.span()
+            kind = KINDS.get(m[0], 0)
+            if not kind:
+                what = "close" if m["close"] else "empty" if m[0][-2] == "/" else "open"
+                found.append((what, begin, at))
 
 
 class Cutter:
@@ -94,29 +102,53 @@ class Cutter:
 
 
 class Summary:
-    """Sums up a split for all eight states; states of one kind share the look for markup."""
+    """Sums up a split for all eight states. Cutters that have come to the same state through the same
+    tag go on as one: each entry of `groups` is a cutter and, by start state, the records it was
+    behind when they met."""
 
     def __init__(self, tag: str, header: str):
-        self.pattern, self.separator = markup(tag), f"{tag}>"
-        self.cutters = [Cutter(state, None) for state in range(8)]
+        self.markup = Markup(tag)
+        self.groups = [(Cutter(state, None), {state: 0}) for state in range(8)]
         element = rf"<{PREFIX}{header}(?:\s[^>]*)?>(.*?)</{PREFIX}{header}\s*>"
         self.element, self.header, self.before, self.looking = re.compile(element, re.S), None, "", True
 
     def feed(self, values: pa.Array) -> None:
         for value in values.to_pylist():
-            text = (value or "") + self.separator
+            text = (value or "") + self.markup.separator
             if self.looking:
                 self._look(text)
             seen: dict[int, tuple] = {}
-            for c in self.cutters:
-                if c.kind not in seen:
-                    seen[c.kind] = events(text, c.kind, self.pattern)
+            tagged = []
+            for c, _ in self.groups:
+                began = c.kind
+                if began not in seen:
+                    seen[began] = self.markup.events(text, began)
+                found, kind = seen[began]
+                if found:
                     # a header stands in front of the records
-                    self.looking = self.looking and (c.kind > 0 or not seen[c.kind][0])
-                c.feed(text, *seen[c.kind])
-                c.done.clear()
-                if not c.known:
-                    c.held.clear()
+                    self.looking = self.looking and began > 0
+                    tagged.append(c)
+                if found or c.known or kind != began:
+                    c.feed(text, found, kind)
+                    c.done.clear()
+                    if not c.known:
+                        c.held.clear()
+            if len(tagged) > 1:
+                self._meet(tagged)
+
+    def _meet(self, tagged: list) -> None:
+        """One group for all that have just passed the same last tag and are in the same state."""
+        first: dict[tuple, tuple] = {}
+        kept = []
+        for c, members in self.groups:
+            met = first.get((c.state, len(c.held[-1]) if c.open else 0)) if c in tagged else None
+            if met is None:
+                kept.append((c, members))
+                if c in tagged:
+                    first[c.state, len(c.held[-1]) if c.open else 0] = c, members
+            else:
+                met[1].update({state: n + c.closed - met[0].closed for state, n in members.items()})
+        self.groups = kept
 
     def _look(self, text: str) -> None:
         """The first header element stands in front of the records; comments do not count."""
@@ -128,8 +160,10 @@ class Summary:
             self.looking, self.before = False, ""
 
     def result(self) -> tuple:
-        heads = ["".join(c.held) if c.open and c.known else None for c in self.cutters]
-        return [c.state for c in self.cutters], [c.closed for c in self.cutters], heads, self.header
+        by_state = {state: (c, n) for c, members in self.groups for state, n in members.items()}
+        ends = [by_state[state] for state in range(8)]
+        heads = ["".join(c.held) if c.open and c.known else None for c, _ in ends]
+        return [c.state for c, _ in ends], [c.closed + n for c, n in ends], heads, self.header
 
 
 def split_table(spark: SparkSession, path: str, tag: str, header: str) -> DataFrame:
@@ -148,8 +182,7 @@ def cut_records(spark: SparkSession, path: str, tag: str, table: DataFrame) -> D
     states = file_offsets(split_states(table, INSIDE, False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern, separator = markup(tag), f"{tag}>"
-        cutter, number = None, 0
+        markup, cutter, number = Markup(tag), None, 0
 
         def rows(file: str) -> pa.RecordBatch:
             nonlocal number
@@ -169,11 +202,11 @@ def cut_records(spark: SparkSession, path: str, tag: str, table: DataFrame) -> D
                 cutter, number = Cutter(state, prefix), offset + before
             if values is not None:
                 for value in values.to_pylist():
-                    text = (value or "") + separator
-                    cutter.feed(text, *events(text, cutter.kind, pattern))
+                    text = (value or "") + markup.separator
+                    cutter.feed(text, *markup.events(text, cutter.kind))
             elif last and cutter.open:
                 # the separator behind a file's last piece is not in the file
-                cutter.held = ["".join(cutter.held).removesuffix(separator)]
+                cutter.held = ["".join(cutter.held).removesuffix(markup.separator)]
                 cutter._finish(False)
             if cutter.done:
                 yield rows(file)
