@@ -259,27 +259,31 @@ def repeated_intervals(docs: DataFrame, scanned: DataFrame, width: int, shard_pa
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1, 4 << 20):
-                keys, shard, start, words, hashed, whole_hash = [], [], [], [], [], []
+                rows = []
                 texts = [t.split() for t in batch.column(1).to_pylist()]
                 for key, split, hashes, found in zip(batch.column(0).to_pylist(), texts, word_hashes(texts), batch.column(2).to_pylist()):
-                    twice = None
+                    twice, equal = None, {}
                     for m in found:
                         first, size = m["run"] >> 6, m["run"] & 63
-                        keys.append(key), start.append(first)
-                        shard.append(None if m["hot"] else m["shard"])
-                        words.append(None if m["hot"] else b" ".join(split[first : first + size + width - 1]))
-                        if m["hot"] and twice is None:
+                        if not m["hot"]:
+                            rows.append((key, m["shard"], [first], b" ".join(split[first : first + size + width - 1]), None, None))
+                            continue
+                        if twice is None:
                             twice = np.stack([rolling(hashes, width, x) for x in (MULTIPLIER, MIX)], axis=1)
-                        rows = twice[first : first + size].tobytes() if m["hot"] else None
-                        hashed.append(rows and [rows[i : i + 16] for i in range(0, len(rows), 16)])
-                        whole_hash.append(rows and xxhash.xxh3_128_digest(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(shard, pa.int32()), pa.array(start, pa.int32()),
-                     pa.array(words, pa.binary()), pa.array(hashed, pa.list_(pa.binary())), pa.array(whole_hash, pa.binary())],
-                    names=["key", "shard", "start", "words", "hashed", "whole"],
-                )
-
-    layout = "key binary, shard int, start int, words binary, hashed array<binary>, whole binary"
+                        windows = twice[first : first + size].tobytes()
+                        # equal passages of a text are one row
+                        equal.setdefault(windows, []).append(first)
+                    for windows, starts in equal.items():
+                        hashed = [windows[i : i + 16] for i in range(0, len(windows), 16)]
+                        rows.append((key, None, starts, None, hashed, xxhash.xxh3_128_digest(windows)))
+                if rows:
+                    kinds = (pa.binary(), pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary()), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                        names=["key", "shard", "starts", "words", "hashed", "whole"],
+                    )
+
+    layout = "key binary, shard int, starts array<int>, words binary, hashed array<binary>, whole binary"
     passages = stored(suspects.mapInArrow(cut, layout), "passages")
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
@@ -291,28 +295,41 @@ def repeated_intervals(docs: DataFrame, scanned: DataFrame, width: int, shard_pa
         return pd.DataFrame(rows, columns=["key", "a", "b"])
 
     hot = hits.where(F.col("n") > most).limit(1).count() > 0
-    found = passages.where("shard is not null").select("key", "shard", "start", "words").groupBy("shard").applyInPandas(solve, "key binary, a int, b int")
+    single = passages.where("shard is not null").select("key", "shard", F.get("starts", F.lit(0)).alias("start"), "words")
+    found = single.groupBy("shard").applyInPandas(solve, "key binary, a int, b int")
     if hot:
-        found = found.unionByName(_hot_intervals(passages.where("whole is not null"), width))
+        found = found.unionByName(_hot_intervals(passages.where("whole is not null"), width, most))
     return texts.select("key", "copies"), suspects.select("key", "text"), found
 
 
-def _hot_intervals(passages: DataFrame, width: int) -> DataFrame:
-    """Repeated intervals of passages (key, start, hashed: their windows' hashes, whole: hash of these).
+def _hot_intervals(passages: DataFrame, width: int, most: int) -> DataFrame:
+    """Repeated intervals of passages (key, starts in its text, hashed: its windows' hashes, whole: hash
+    of these; one row a text and passage).
 
     Passages that occur twice are done with; of each of these one stays to be counted, and of the
-    others the windows that occur twice are reported.
+    others the windows that occur twice are reported. Passages with more than `most` rows are sent to the
+    rows, which stay where they are: they are at most one in `most` rows.
     """
-    place = F.struct("key", "start")
-    times = passages.groupBy("whole").agg(F.count("*").alias("n"), F.min(place).alias("one"))
-    counted = passages.join(times, "whole")
-    copies = counted.where("n > 1").select("key", F.col("start").alias("a"), (F.col("start") + F.size("hashed") + width - 1).alias("b"))
-    windows = counted.where((F.col("n") == 1) | (F.col("one") == place)).select(
-        "key", "start", "n", F.posexplode("hashed").alias("at", "w")
+    times = passages.groupBy("whole").agg(
+        F.count("*").alias("n"), F.max(F.size("starts")).alias("inside"), F.min("key").alias("one")
+    )
+    common = F.broadcast(times.where(F.col("n") > most))
+    rare = times.where(F.col("n") <= most)
+    own = ["key", "starts", "hashed", "whole"]
+    often = passages.join(common, "whole").select(*own, "n", "inside", "one")
+    seldom = passages.join(common.select("whole"), "whole", "left_anti").join(rare, "whole").select(*own, "n", "inside", "one")
+    counted = often.union(seldom)
+    repeats = (F.col("n") > 1) | (F.col("inside") > 1)
+    length = F.size("hashed") + width - 1
+    copies = counted.where(repeats).select("key", F.explode("starts").alias("a"), length.alias("n")).select(
+        "key", "a", (F.col("a") + F.col("n")).alias("b")
+    )
+    windows = counted.where(F.col("one") == F.col("key")).select(
+        "key", F.get("starts", F.lit(0)).alias("start"), repeats.alias("done"), F.posexplode("hashed").alias("at", "w")
     )
     twice = windows.groupBy("w").agg(F.count("*").alias("times")).where("times > 1").select("w")
     begin = F.col("start") + F.col("at")
-    single = windows.where("n = 1").join(twice, "w").select("key", begin.alias("a"), (begin + width).alias("b"))
+    single = windows.where("not done").join(twice, "w").select("key", begin.alias("a"), (begin + width).alias("b"))
     return copies.unionByName(single)
 
 
