@@ -66,3 +66,21 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a metrics table as JSON lines, null values included."""
     metrics.write.mode(mode).option("ignoreNullFields", False).json(path)
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, keys: list[str], buckets: int, mode: str = "overwrite"
+) -> DataFrame:
+    """Write Parquet to `path` as catalogue table `name`, cut by a hash of `keys` into `buckets` and
+    sorted by them within each, and read it back.
+
+    Joins and groupings on the keys take the table as it lies, without an exchange, as long as the
+    other side is dealt into no more partitions than there are buckets. Rows are dealt before they are
+    written, so that a bucket is one file, and a key's rows lie together: choose keys that are near unique.
+    """
+    spark = df.sparkSession
+    (
+        df.repartition(buckets, *keys).write.mode(mode).format("parquet").option("path", path)
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    )
+    return spark.table(name)

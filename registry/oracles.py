@@ -620,6 +620,10 @@ ORACLES: dict[str, str] = {
                                   7, '0')) as source_id, {LIST_COLUMNS},
                '{ACCESSED}' as source_accessed_date from merged"""),
     "build_counts": "",
+    "nodes_in_network_bitmap": sql("select * from node where lei in (select lei from firm)"),
+    "endpoint_names_bucketed": sql("""
+        select lei, name as legal_name_clean from ent
+        where lei in (select firm_i from edge union select firm_j from edge)"""),
     "ultimate_owners": f"""
         with recursive step as materialized (
           select distinct {code('E', 'k')} as lei, {code('E', 'o')} as via from (

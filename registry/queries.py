@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from firmloom.functions import names, similarity
 from firmloom.functions.text import blank_na
-from firmloom.operators import blocking, checks, dedupe, evaluation, graph, membership, ownership, quality
+from firmloom.operators import blocking, checks, dedupe, evaluation, existence, graph, membership, ownership, quality
 from firmloom.operators.ordinals import dense_ordinal, file_ordinal, surrogate_id
 from firmloom.operators.scoring import score_candidates, top_candidates
 from firmloom.operators.skew import Volume, measure
@@ -646,6 +647,24 @@ def head_sample(spark, sf_dir):
     return dedupe.head_sample(fx.entity(spark, sf_dir), ["row_id"])
 
 
+@query
+def nodes_in_network_bitmap(spark, sf_dir):
+    """As nodes_in_network, with a bitmap of the ends at the scan of the nodes."""
+    ends = checks.nonblank_endpoints(_edges(spark, sf_dir))
+    return existence.semi_join(_nodes(spark, sf_dir), [(ends, "firm_i"), (ends, "firm_j")], "lei", ["legal_name"])
+
+
+@query
+def endpoint_names_bucketed(spark, sf_dir):
+    """Register rows by LEI for both ends of every relationship, from a register bucketed by LEI."""
+    path = scratch_path(spark, "bucketed")
+    register = match.prepare_entities(fx.entity(spark, sf_dir)).select("lei", "legal_name_clean")
+    name = f"firmloom_{uuid.uuid4().hex}"
+    bucketed = tables.write_bucketed(register, name, path, ["lei"], 64)
+    ends = graph.endpoints(_edges(spark, sf_dir))
+    return bucketed.hint("merge").join(ends, "lei").select("lei", "legal_name_clean")
+
+
 @query
 def ultimate_owners(spark, sf_dir):
     """Companies on top of the ownership chains."""
