@@ -35,9 +35,10 @@ class Markup:
 
     def __init__(self, tag: str):
         self.tag, self.separator = tag, f"{tag}>"
-        attributes = r"""(?:[^"'<>]|"[^"]*"|'[^']*')*"""
-        self.any = re.compile(rf"<!--|<!\[CDATA\[|<\?|<(?P<close>/?){PREFIX}{re.escape(tag)}(?=[\s/>]){attributes}>")
-        self.last = re.compile(rf"<(/?){PREFIX}")
+        # the element's name is looked for, and what stands before and behind it then
+        self.any = re.compile(rf"<!--|<!\[CDATA\[|<\?|{re.escape(tag)}(?=[\s/>])")
+        self.lead = re.compile(rf"<(/?){PREFIX}")
+        self.rest = re.compile(r"""(?:[^"'<>]|"[^"]*"|'[^']*')*>""")
 
     def events(self, text: str, kind: int) -> tuple[list[tuple[str, int, int]], int]:
         """Record tags of a piece that starts in `kind`, as (open, close or empty; from; to), and the
@@ -45,7 +46,7 @@ class Markup:
         if not kind and "<!" not in text and "<?" not in text and text.count(self.tag) == 1 and text.endswith(self.separator):
             name = len(text) - len(self.separator)
             begin = text.rfind("<", 0, name)
-            m = self.last.fullmatch(text, begin, name) if begin >= 0 else None
+            m = self.lead.fullmatch(text, begin, name) if begin >= 0 else None
             return ([("close" if m[1] else "open", begin, len(text))] if m else []), 0
         found, at = [], 0
         while True:
@@ -57,10 +58,16 @@ class Markup:
             m = self.any.search(text, at)
             if m is None:
                 return found, 0
-            begin, at = m.span()
+            name, at = m.span()
             kind = KINDS.get(m[0], 0)
-            if not kind:
-                what = "close" if m["close"] else "empty" if m[0][-2] == "/" else "open"
+            if kind:
+                continue
+            begin = text.rfind("<", 0, name)
+            lead = self.lead.fullmatch(text, begin, name) if begin >= 0 else None
+            rest = self.rest.match(text, at) if lead else None
+            if rest:
+                at = rest.end()
+                what = "close" if lead[1] else "empty" if text[at - 2] == "/" else "open"
                 found.append((what, begin, at))
 
 
