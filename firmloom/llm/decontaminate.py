@@ -27,7 +27,7 @@ from firmloom.llm.common import row_key, slices, stored, text_or_empty
 #: Bytes of lower-case words; everything else becomes a space. Fixed by the definition of a word.
 WORD_BYTES = frozenset([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
 TO_WORDS = bytes(b if b in WORD_BYTES else 0x20 for b in (bytes([n]).lower()[0] for n in range(256)))
-#: Positions between two documents; proximity matches may not reach further.
+#: Positions between two documents, so that no phrase runs on.
 GAP = 64
 INDEX = (
     "doc_ids array<long>, row_keys array<long>, n_words array<int>, terms binary, ends binary, positions binary"
@@ -143,12 +143,15 @@ class Segment:
         return np.searchsorted(self.starts, positions, side="right") - 1
 
     def nearest(self, terms: np.ndarray, positions: np.ndarray) -> np.ndarray:
-        """Distance from each position to the nearest posting of the term beside it."""
+        """Distance from each position to the nearest posting, in the same document, of the term beside it."""
         at = np.searchsorted(self.lists, terms * self.span + positions)
+        doc = self.document(positions)
+        low, high = self.starts[doc], self.starts[doc] + self.n[doc]
         best = np.full(len(positions), self.span)
         for side in (at - 1, at):
             ok = (side >= self.first[terms]) & (side < self.first[terms] + self.sizes[terms])
             found = self.lists[np.where(ok, side, 0)] - terms * self.span if len(self.lists) else side
+            ok &= (found >= low) & (found < high)
             best = np.where(ok, np.minimum(best, np.abs(found - positions)), best)
         return best
 
@@ -181,7 +184,7 @@ class Segment:
                     ok = ~real | ((self.lists[at] == key) & (start >= 0))
                 else:
                     reach = w.size[alive[local]] + slop
-                    ok = ~real | (self.nearest(np.where(real, term, 0), anchor) <= np.minimum(reach, GAP - 1))
+                    ok = ~real | (self.nearest(np.where(real, term, 0), anchor) <= reach)
                 local, start, anchor = local[ok], start[ok], anchor[ok]
             if len(local):
                 yield alive[local], start if slop is None else anchor

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from firmloom.llm import fm_dedup, packing, pseudo_likelihood, resample, secrets, simhash, token_counts, voronoi
+from firmloom.llm import decontaminate, fm_dedup, packing, pseudo_likelihood, resample, secrets, simhash, token_counts, voronoi
 from firmloom.llm import queries as Q
 from firmloom.llm.common import stored
 from firmloom.llm.oracles import ORACLES
@@ -273,3 +273,52 @@ def test_pseudo_likelihood_learns(spark):
     seen = pseudo_likelihood.score(encoded, flat).groupBy().avg("mean_pll").first()[0]
     odd = pseudo_likelihood.score(pseudo_likelihood.encode(mixed, tokens), flat).groupBy().avg("mean_pll").first()[0]
     assert seen > -1.0 and odd < seen - 1.0
+
+
+def plain_near(texts, items, width, slop):
+    """Places of each window's rarest word (of equals the first) that have all its other words within reach."""
+    docs = {d: [w.decode() for w in decontaminate.words_of(t.encode())] for d, t in texts.items()}
+    times = Counter(w for words in docs.values() for w in words)
+    found = set()
+    for item, text in items:
+        words = [w.decode() for w in decontaminate.words_of(text.encode())]
+        for k in range(max(1, len(words) - width + 1) if words else 0):
+            window = words[k : k + width]
+            lead = min(window, key=lambda w: (times[w], window.index(w)))
+            for d, ws in docs.items():
+                for at in (i for i, w in enumerate(ws) if w == lead):
+                    near = set(ws[max(0, at - len(window) - slop) : at + len(window) + slop + 1])
+                    if set(window) <= near:
+                        found.add((d, item, at))
+    return found
+
+
+@pytest.mark.parametrize("slop", [0, 3, 100])
+def test_proximity_by_every_window(spark, slop):
+    rng = random.Random(slop)
+    vocabulary = [f"w{i}" for i in range(25)] + ["rare1", "rare2"]
+    weights = [10] * 25 + [1, 1]
+    texts = {d: " ".join(rng.choices(vocabulary, weights, k=rng.choice([0, 5, 300]))) for d in range(30)}
+    items = [(str(i), " ".join(rng.choices(vocabulary, weights, k=rng.choice([0, 3, 6, 12])))) for i in range(25)]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    index = stored(decontaminate.build_index(docs), "index")
+    table = spark.createDataFrame(items, "item_id string, text string")
+    want = plain_near(texts, items, 4, slop)
+    for block in (16 << 20, 300):  # one block of items, and many
+        rows = decontaminate.phrase_matches(index, table, 4, slop, block_bytes=block).collect()
+        assert {(r.doc_id, s.item_id, s.start) for r in rows for s in r.spans} == want
+        assert len(rows) == len(texts)
+
+
+def test_phrases_in_many_blocks(spark, texts):
+    """More than one block of items, and rows that repeat: the same result as in one block."""
+    docs = Q.table(spark, SF, "documents").select("doc_id", "text")
+    docs = docs.union(docs.where("doc_id % 7 = 0"))
+    index = stored(decontaminate.build_index(docs), "index")
+    items = Q.table(spark, SF, "benchmark")
+    result = lambda block: sorted(
+        (r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), tuple(sorted(map(tuple, r.spans))))
+        for r in decontaminate.phrase_matches(index, items, 10, block_bytes=block).collect()
+    )
+    one, many = result(16 << 20), result(500)
+    assert one == many and any(n for _, _, n, _, _ in one)
