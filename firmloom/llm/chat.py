@@ -83,7 +83,8 @@ def format_windows(
     before = F.aggregate(
         "body", F.array(zero), lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) + t["n"]))
     )
-    whole = whole.withColumn("room", room).withColumn("before", before)
+    # explode keeps the sums from being planned again inside every expression that looks them up
+    whole = whole.select("*", room.alias("room"), F.explode(F.array(before)).alias("before"))
 
     def open_window(acc: Column, i: Column) -> Column:
         """Close the last window before turn i if its span would outgrow the room."""

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from firmloom.llm import decontaminate, fm_dedup, packing, pseudo_likelihood, resample, secrets, simhash, token_counts, voronoi
+from firmloom.llm import chat, decontaminate, fm_dedup, packing, pseudo_likelihood, resample, secrets, simhash, token_counts, voronoi
 from firmloom.llm import queries as Q
 from firmloom.llm.common import stored
 from firmloom.llm.oracles import ORACLES
@@ -322,3 +322,13 @@ def test_phrases_in_many_blocks(spark, texts):
     )
     one, many = result(16 << 20), result(500)
     assert one == many and any(n for _, _, n, _, _ in one)
+
+
+def test_long_conversation(spark):
+    """Thousands of turns in one conversation: every turn read back once, in order."""
+    rows = [(1, t, "user" if t % 2 else "assistant", f"some words here {t}") for t in range(4000)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = chat.format_windows(turns, budget=256, history=64)
+    read = sorted(chat.read_windows(windows).collect(), key=lambda r: r.window)
+    assert len(read) > 100 and [tuple(t) for r in read for t in r.turns] == [r[2:] for r in rows]
+    assert [t for r in read for t in r.targets] == [r[3] for r in rows if r[2] == "assistant"]
