@@ -4,15 +4,16 @@ Inner products become distances: with one more coordinate sqrt(M^2 - |x|^2), M t
 largest norm, all vectors have the same length, and the nearest neighbours of a query
 (whose extra coordinate is 0) are those with the highest inner products. Pivots cut
 the space into cells. Per cell, a summary (count, range of distances to the pivot,
-smallest distances) gives an upper bound on the distance of the k-th neighbour for
-every cell of queries, and from it the range of distances to each pivot in which a
-vector can still matter. Vectors outside every range are left out before the shuffle;
-each remaining one is sent once, and only the queries that need its cell go there.
-Cells are solved locally and the short lists merged.
+smallest distances) gives an upper bound on the distance of each query's k-th neighbour.
+A query goes only to cells that may hold something nearer: neither the range of distances to the
+cell's pivot nor the plane between its own pivot and that one may be farther than the bound. Of a
+cell, only vectors at distances that some query still asks for are sent. Cells are solved
+locally and the short lists merged.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from firmloom.llm.common import stored
+
 #: Rounding of distances may not cut a tie: bounds are widened by this share.
 SLACK = 1e-6
 
@@ -89,8 +92,8 @@ def knn_join(
         return run
 
     layout = "vec_id long, vec array<double>, cell int, dist double"
-    data = vectors.mapInPandas(assign(False), layout)
-    asked = queries.mapInPandas(assign(True), layout)
+    data = stored(vectors.mapInPandas(assign(False), layout), "cells")
+    asked = stored(queries.mapInPandas(assign(True), layout), "queries")
 
     # Summaries: k + 1 distances a cell, since a query's own row may be among them.
     nearest = Window.partitionBy("cell").orderBy("dist")
@@ -102,21 +105,48 @@ def knn_join(
         .agg(F.sort_array(F.collect_list("dist")).alias("near"))
         .collect()
     )
-    counts = {r["cell"]: r["n"] for r in data.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    radius = {r["cell"]: r["r"] for r in asked.groupBy("cell").agg(F.max("dist").alias("r")).collect()}
-    apart = _distances(centres[:, :-1], centres[:, -1], centres)
-    low = np.full((len(centres), len(centres)), np.inf)  # of a query cell (row) in a data cell (column)
-    high = np.full_like(low, -np.inf)
-    for i, r in radius.items():
-        bounds = np.sort(np.concatenate([r + apart[i, s["cell"]] + np.array(s["near"]) for s in summary]))
-        kth = bounds[k] if len(bounds) > k else np.inf
-        kth = kth * (1 + SLACK) + SLACK
-        low[i] = apart[i] - r - kth
-        high[i] = apart[i] + r + kth
-    least, largest = low.min(0), high.max(0)
-    cuts = {c: -(-n // slice_rows) for c, n in counts.items()}
+    ranges = {r["cell"]: r for r in data.groupBy("cell").agg(F.count("*").alias("n"), F.min("dist").alias("low"), F.max("dist").alias("high")).collect()}
+    cells = sorted(ranges)
+    low, high = (np.array([ranges[c][x] for c in cells]) for x in ("low", "high"))
+    near = np.full((len(cells), k + 1), np.inf)
+    for r in summary:
+        near[cells.index(r["cell"]), : len(r["near"])] = r["near"]
+    apart = _distances(centres[:, :-1], centres[:, -1], centres)[:, cells]
+    cuts = {c: -(-ranges[c]["n"] // slice_rows) for c in cells}
     blocks = -(-n_queries // query_rows)
 
+    def bounds(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distances of queries to the cells' pivots, bounds on their k-th neighbours, and whether a
+        cell may hold something nearer."""
+        m = _matrix(frame["vec"], dim)
+        d = _distances(m, np.zeros(len(m)), centres[cells])
+        own, cell = frame["dist"].to_numpy()[:, None], frame["cell"].to_numpy()
+        upper = (d[:, :, None] + near[None]).reshape(len(m), -1)
+        kth = np.partition(upper, k, axis=1)[:, k : k + 1] if upper.shape[1] > k else np.full((len(m), 1), np.inf)
+        kth = kth * (1 + SLACK) + SLACK
+        with np.errstate(divide="ignore", invalid="ignore"):
+            plane = np.nan_to_num((d**2 - own**2) / (2 * apart[cell]), nan=0.0, posinf=0.0, neginf=0.0)
+        farther = np.maximum(np.maximum(d - high, low - d), plane * (1 - SLACK) - SLACK)
+        return d, kth, farther <= kth
+
+    def wanted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            d, kth, may = bounds(frame)
+            yield pd.DataFrame({
+                "cell": np.array(cells, dtype=np.int32), "least": np.where(may, d - kth, np.inf).min(axis=0),
+                "largest": np.where(may, d + kth, -np.inf).max(axis=0), "n": may.sum(axis=0),
+            })
+
+    # Distances to its pivot that queries ask a cell for: at most a row a pivot.
+    span = asked.mapInPandas(wanted, "cell int, least double, largest double, n long").groupBy("cell").agg(
+        F.min("least").alias("least"), F.max("largest").alias("largest"), F.sum("n").alias("n")
+    ).collect()
+    least, largest = np.full(len(centres), np.inf), np.full(len(centres), -np.inf)
+    for r in span:
+        least[r["cell"]], largest[r["cell"]] = r["least"], r["largest"]
+    went = sum(r["n"] for r in span) / (n_queries * len(cells))
+    logging.getLogger(__name__).info("%.3f of all pairs of query and cell are skipped", 1 - went)
+
     def route_data(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             cell = frame["cell"].to_numpy()
@@ -126,13 +156,12 @@ def knn_join(
             )[["vec_id", "vec", "cell", "slice"]]
 
     def route_queries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        places = {
-            i: [(j, s) for j, n in cuts.items() if low[i, j] <= high[i, j] for s in range(n)] for i in radius
-        }
         for frame in frames:
-            for cell, part in frame.groupby("cell"):
-                for j, s in places[cell]:
-                    yield part[["vec_id", "vec"]].assign(cell=np.int32(j), slice=np.int32(s))
+            may = bounds(frame)[2]
+            for j, cell in enumerate(cells):
+                part = frame.loc[may[:, j], ["vec_id", "vec"]]
+                for s in range(cuts[cell] if len(part) else 0):
+                    yield part.assign(cell=np.int32(cell), slice=np.int32(s))
 
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
     right = data.mapInPandas(route_data, "vec_id long, vec array<double>, cell int, slice int").select(

@@ -332,3 +332,22 @@ def test_long_conversation(spark):
     read = sorted(chat.read_windows(windows).collect(), key=lambda r: r.window)
     assert len(read) > 100 and [tuple(t) for r in read for t in r.turns] == [r[2:] for r in rows]
     assert [t for r in read for t in r.targets] == [r[3] for r in rows if r[2] == "assistant"]
+
+
+@pytest.mark.parametrize("clusters, skipped", [(True, 0.3), (False, -1e-9)])
+def test_nearest_by_every_pair(spark, caplog, clusters, skipped):
+    """Cells that hold nothing nearer are skipped, where vectors lie in clusters many of them."""
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((40, 8))
+    centres *= 200 / np.linalg.norm(centres, axis=1)[:, None]
+    x = np.round(centres[rng.integers(0, 40, 2000)] + rng.standard_normal((2000, 8)) * 3 if clusters else rng.standard_normal((2000, 8)) * 100)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vec array<double>").repartition(3)
+    with caplog.at_level("INFO", logger="firmloom.llm.voronoi"):
+        rows = voronoi.knn_join(df, df.where("vec_id % 25 = 0"), 5, slice_rows=300, query_rows=30).collect()
+    want = set()
+    for q in range(0, 2000, 25):
+        scores = x @ x[q]
+        best = sorted((-scores[j], j) for j in range(2000) if j != q)[:5]
+        want |= {(q, n, j, -s) for n, (s, j) in enumerate(best, 1)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in rows} == want
+    assert float(caplog.records[-1].getMessage().split()[0]) > skipped
