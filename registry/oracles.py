@@ -515,6 +515,18 @@ ORACLES: dict[str, str] = {
                cn as source_country_norm, sector as source_sector, '{BASE_SPEC.note}' as source_notes,
                1 as has_sbti, 0 as has_re100, 0 as has_ev100, 0 as has_ep100, url as source_url,
                '{ACCESSED}' as source_accessed_date from base"""),
+    "member_frames": sql(f"""
+        select ordinal, nm as source_name, cl as source_name_clean, country as source_country,
+               lower(country) as source_country_norm, sector as source_sector,
+               case list_no {" ".join(f"when {n} then '{s.note}'" for n, s in enumerate(MEMBER_SPECS, 1))} end as source_notes,
+               0 as has_sbti, {", ".join(f"cast(list_no = {n} as int) as {s.flag}" for n, s in enumerate(MEMBER_SPECS, 1))},
+               url as source_url, '{ACCESSED}' as source_accessed_date, list_no
+        from incoming_raw where nm <> ''"""),
+    "read_member_lists": sql(f"""
+        select row_number() over (partition by list_no order by ordinal) as ordinal,
+               case when nm in ({", ".join(f"'{t}'" for t in NA_TOKENS)}) then '' else nm end as source_name,
+               country as source_country, sector as source_sector, url as source_url, list_no
+        from incoming_raw"""),
     "entity_country": """
         select o_orderkey, case when o_orderstatus = 'F' then coalesce(o_orderpriority, o_orderstatus)
                                 else o_orderstatus end as country from orders""",

@@ -185,6 +185,29 @@ def member_frame(spark, sf_dir):
     return lists.member_frame(fx.base_list(spark, sf_dir), lists.BASE_SPEC, ACCESSED)
 
 
+@query
+def member_frames(spark, sf_dir):
+    """The frames of all three member lists, each with its own headers, flag and note."""
+    frames = [
+        lists.member_frame(df, spec, ACCESSED).withColumn("list_no", F.lit(number))
+        for number, (spec, df) in enumerate(zip(lists.MEMBER_SPECS, fx.member_lists(spark, sf_dir)), 1)
+    ]
+    return quality.stack(frames)
+
+
+@query
+def read_member_lists(spark, sf_dir):
+    """All three member lists written as CSV and read in file order, whole texts with line breaks."""
+    found = []
+    for number, rows in enumerate(fx.member_lists(spark, sf_dir), 1):
+        path = scratch_path(spark, "list")
+        ordered = rows.repartitionByRange("ordinal").sortWithinPartitions("ordinal")
+        tables.write_table(ordered.drop("ordinal"), path, "csv")
+        read = lists.pick_columns(tables.read_member_list(spark, path, multi_line=True))
+        found.append(read.withColumn("list_no", F.lit(number)))
+    return quality.stack(found)
+
+
 @query
 def entity_country(spark, sf_dir):
     rows = fx.table(spark, sf_dir, "orders")
