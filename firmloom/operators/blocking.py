@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from firmloom.functions.similarity import sorted_tokens, token_set
 from firmloom.functions.text import _col, strip
 from firmloom.operators.dedupe import first_per_group
+from firmloom.operators.shared import shared
 from firmloom.operators.skew import Volume, measure, salted_join
 
 BLOCK = ["block_level", "block_country", "block_name"]
@@ -177,18 +178,20 @@ def candidate_sets(
     entities: DataFrame,
     rules: BlockingRules = BlockingRules(),
     volume: Volume | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Distinct sources with their block and its members (null if the register is empty),
     whether the block was cut, and unless `rules.exact_in_cap` their exact match.
 
     `sources` needs name_clean and country_norm, `entities` row_id, lei,
     legal_name, legal_name_clean and country_norm. `volume` is the size of the
-    sources; without it one aggregation looks it up.
+    sources; without it one aggregation looks it up. With `scratch`, a folder every executor can
+    reach, the blocks' keys are written there once.
     """
     named = sources.select(*SOURCE).where(F.col("name_clean") != "")
     volume = volume or measure(named)
     small = volume.broadcastable
-    placed = place_sources(named.distinct(), entities, rules, small)
+    placed = shared(place_sources(named.distinct(), entities, rules, small), scratch, "placed")
     blocks = build_blocks(entities, placed, rules, small)
     # a short source row grows to a whole block to be scored, which byte-based
     # partition sizes cannot see, so tasks and slices follow the row count

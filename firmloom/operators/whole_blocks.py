@@ -17,6 +17,7 @@ from firmloom.operators.blocking import (
     ALL_ROWS, BLOCK, SOURCE, BlockingRules, exact_matches, place_sources, with_keys,
 )
 from firmloom.operators.dedupe import first_per_group
+from firmloom.operators.shared import shared
 from firmloom.operators.skew import Volume, hot_keys, measure
 
 #: Rows of work (pairs of slices) per task and most tasks, which bytes do not tell.
@@ -93,20 +94,23 @@ def whole_block_candidates(
 
 
 def whole_block_matches(
-    sources: DataFrame, entities: DataFrame, rules: BlockingRules, top_k: int = 3, volume: Volume | None = None
+    sources: DataFrame, entities: DataFrame, rules: BlockingRules, top_k: int = 3, volume: Volume | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Distinct sources with block_level, block_cut (false: no block is cut), exact and top.
 
     Inputs and results are those of `candidate_sets` and `score_candidates`; sources with an exact
-    match have an empty `top`.
+    match have an empty `top`. With `scratch`, a folder every executor can reach, blocks' keys, exact
+    matches and the blocks' names are written there once instead of being looked up for every step.
     """
     named = sources.select(*SOURCE).where(F.col("name_clean") != "")
     volume = volume or measure(named)
     small = volume.broadcastable
-    placed = place_sources(named.distinct(), entities, rules, small)
-    exact = exact_matches(placed, entities)
+    placed = shared(place_sources(named.distinct(), entities, rules, small), scratch, "placed")
+    exact = shared(exact_matches(placed, entities), scratch, "exact")
     undecided = placed.join(exact.select(*SOURCE), SOURCE, "left_anti").select(*SOURCE, *BLOCK)
-    top = whole_block_candidates(undecided, block_names(entities, undecided, rules, top_k, small), top_k, volume)
+    names = shared(block_names(entities, undecided, rules, top_k, small), scratch, "names")
+    top = whole_block_candidates(undecided, names, top_k, volume)
     return (
         placed.select(*SOURCE, "block_level", F.lit(False).alias("block_cut"))
         .join(exact, SOURCE, "left")

@@ -67,13 +67,13 @@ def prepare_entities(entities: DataFrame) -> DataFrame:
 
 
 def match_pairs(
-    pairs: DataFrame, register: DataFrame, rules: BlockingRules, top_k: int, volume: Volume
+    pairs: DataFrame, register: DataFrame, rules: BlockingRules, top_k: int, volume: Volume, scratch: str | None = None
 ) -> DataFrame:
     """Distinct filled (name, country) pairs with block, exact match and best candidates."""
     if rules.max_candidates is None:
-        scored = whole_block_matches(pairs, register, rules, top_k, volume)
+        scored = whole_block_matches(pairs, register, rules, top_k, volume, scratch)
     else:
-        scored = score_candidates(candidate_sets(pairs, register, rules, volume), top_k)
+        scored = score_candidates(candidate_sets(pairs, register, rules, volume, scratch), top_k)
     return scored.select(*SOURCE, "block_level", "block_cut", "exact", "top")
 
 
@@ -121,7 +121,7 @@ def match_table(
     prepared = shared(prepare_sources(sources, countries), scratch, "sources")
     volume = volume or measure(prepared.select(*SOURCE))
     register = shared(prepare_entities(entities), scratch, "register")
-    return joined_matches(prepared, match_pairs(prepared, register, rules, top_k, volume), volume, auto, review)
+    return joined_matches(prepared, match_pairs(prepared, register, rules, top_k, volume, scratch), volume, auto, review)
 
 
 def crosswalk(matches: DataFrame) -> DataFrame:

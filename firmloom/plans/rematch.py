@@ -74,7 +74,7 @@ def rematch(
     else:
         todo = pairs
     volume = volume or measure(todo.select(*SOURCE))
-    fresh = match_pairs(todo, register, rules, top_k, volume)
+    fresh = match_pairs(todo, register, rules, top_k, volume, state)
     whole = fresh if kept is None else kept.select(*fresh.columns).unionByName(fresh)
     done = shared(whole.withColumn("run_mark", F.lit(mark)), state, PAIRS).drop("run_mark")
     return joined_matches(prepared, done, measure(pairs))

@@ -299,7 +299,7 @@ def without_self_edges(spark, sf_dir):
 
 
 def _matches(spark, sf_dir):
-    return match.match_table(fx.source(spark, sf_dir), fx.entity(spark, sf_dir))
+    return match.match_table(fx.source(spark, sf_dir), fx.entity(spark, sf_dir), scratch=scratch_path(spark, "match"))
 
 
 def _walk(spark, sf_dir):
@@ -330,7 +330,9 @@ def match_crosswalk_capped(spark, sf_dir):
 def fuzzy_match_whole(spark, sf_dir):
     """As match_crosswalk, with the best candidates of the whole block instead of its first 50 rows."""
     rules = blocking.BlockingRules(max_candidates=None)
-    found = match.match_table(fx.source(spark, sf_dir), fx.entity(spark, sf_dir), rules)
+    found = match.match_table(
+        fx.source(spark, sf_dir), fx.entity(spark, sf_dir), rules, scratch=scratch_path(spark, "whole")
+    )
     return rounded(match.crosswalk(found), "match_score")
 
 
@@ -353,7 +355,7 @@ def top_scores_whole(spark, sf_dir):
     """The three best candidates of every source's whole block."""
     found = whole_block_matches(
         match.prepare_sources(fx.source(spark, sf_dir)), match.prepare_entities(fx.entity(spark, sf_dir)),
-        blocking.BlockingRules(max_candidates=None),
+        blocking.BlockingRules(max_candidates=None), scratch=scratch_path(spark, "whole"),
     )
     return rounded(top_candidates(found), "token_sort_ratio", "token_set_ratio", "combined_score")
 
