@@ -115,25 +115,30 @@ class WaveletMatrix:
 class FmIndex:
     """FM-index of passages: symbols from 1 on, each passage followed by a 0.
 
-    Suffixes are sorted by their first 64 symbols, ties by place, which is enough to search for
-    anything that short.
+    Suffixes are sorted by at least their first 64 symbols, ties in any order, which is enough to
+    search for anything that short: a range of the order is then the same set of suffixes.
     """
 
     def __init__(self, text: np.ndarray, depth: int = 64):
-        n = len(text)
-        order, rank = np.argsort(text, kind="stable"), text.astype(np.int64)
-        step = 1
-        while step < depth:
-            key = rank * (int(rank.max()) + 2)
-            key[: n - step] += rank[step:] + 1
-            order = np.argsort(key, kind="stable")
+        n, kinds = len(text), int(text.max()) + 1
+        # as many symbols to begin with as one number holds; 0 is past the end
+        bits, step = kinds.bit_length(), 1
+        key = text.astype(np.int64) + 1
+        while 2 * step * bits < 64:
+            tail = key[step:].copy()
+            key <<= step * bits
+            key[: n - step] |= tail
+            step *= 2
+        while True:
+            order = np.argsort(key)
             ranked = key[order]
             rank = np.empty(n, dtype=np.int64)
             rank[order] = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-            if rank[order[-1]] == n - 1:
+            if step >= depth or rank[order[-1]] == n - 1:
                 break
+            key = rank * (int(rank[order[-1]]) + 2)
+            key[: n - step] += rank[step:] + 1
             step *= 2
-        kinds = int(text.max()) + 1
         self.size = n
         self.text = text
         self.below = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=kinds))[:-1]])
@@ -228,7 +233,8 @@ def scan(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_intervals(docs: DataFrame, scanned: DataFrame, width: int, shard_passages: int, most: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The different texts (key, copies), the texts that have repeated anchors (key, text) and
-    the intervals in them (key, a, b): words of which every window stands elsewhere too."""
+    the intervals in them (key, starts, n: `n` words from each start): words of which every window
+    stands elsewhere too."""
     texts = stored(
         scanned.where(F.size("anchors") > 0).groupBy("key").agg(
             F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"),
@@ -288,15 +294,15 @@ def repeated_intervals(docs: DataFrame, scanned: DataFrame, width: int, shard_pa
 
     def solve(frame: pd.DataFrame) -> pd.DataFrame:
         rows = [
-            (key, start + a, start + b)
+            (key, [start + a], b - a)
             for key, start, found in zip(frame["key"], frame["start"].tolist(), shard_intervals(frame["words"].tolist(), width))
             for a, b in found
         ]
-        return pd.DataFrame(rows, columns=["key", "a", "b"])
+        return pd.DataFrame(rows, columns=["key", "starts", "n"])
 
     hot = hits.where(F.col("n") > most).limit(1).count() > 0
     single = passages.where("shard is not null").select("key", "shard", F.get("starts", F.lit(0)).alias("start"), "words")
-    found = single.groupBy("shard").applyInPandas(solve, "key binary, a int, b int")
+    found = single.groupBy("shard").applyInPandas(solve, "key binary, starts array<int>, n int")
     if hot:
         found = found.unionByName(_hot_intervals(passages.where("whole is not null"), width, most))
     return texts.select("key", "copies"), suspects.select("key", "text"), found
@@ -321,15 +327,14 @@ def _hot_intervals(passages: DataFrame, width: int, most: int) -> DataFrame:
     counted = often.union(seldom)
     repeats = (F.col("n") > 1) | (F.col("inside") > 1)
     length = F.size("hashed") + width - 1
-    copies = counted.where(repeats).select("key", F.explode("starts").alias("a"), length.alias("n")).select(
-        "key", "a", (F.col("a") + F.col("n")).alias("b")
-    )
+    # a passage that a text repeats stays one row with all its starts
+    copies = counted.where(repeats).select("key", "starts", length.alias("n"))
     windows = counted.where(F.col("one") == F.col("key")).select(
         "key", F.get("starts", F.lit(0)).alias("start"), repeats.alias("done"), F.posexplode("hashed").alias("at", "w")
     )
     twice = windows.groupBy("w").agg(F.count("*").alias("times")).where("times > 1").select("w")
-    begin = F.col("start") + F.col("at")
-    single = windows.where("not done").join(twice, "w").select("key", begin.alias("a"), (begin + width).alias("b"))
+    begin = F.array(F.col("start") + F.col("at"))
+    single = windows.where("not done").join(twice, "w").select("key", begin.alias("starts"), F.lit(width).alias("n"))
     return copies.unionByName(single)
 
 
@@ -349,7 +354,7 @@ def without_repeats(
         raise ValueError(f"width must be above {ANCHOR} and below 64")
     scanned = stored(scan(docs, width, id_col, text_col), "scanned")
     texts, suspects, found = repeated_intervals(docs, scanned, width, shard_passages, most, id_col, text_col)
-    intervals = found.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("parts"))
+    intervals = found.groupBy("key").agg(F.collect_list(F.struct("starts", "n")).alias("parts"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -358,8 +363,10 @@ def without_repeats(
                 for text, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                     words = text.split()
                     step = np.zeros(len(words) + 1, dtype=np.int64)
-                    np.add.at(step, [p["a"] for p in parts], 1)
-                    np.add.at(step, [p["b"] for p in parts], -1)
+                    starts = np.array([a for p in parts for a in p["starts"]], dtype=np.int64)
+                    sizes = np.repeat([p["n"] for p in parts], [len(p["starts"]) for p in parts])
+                    np.add.at(step, starts, 1)
+                    np.add.at(step, starts + sizes, -1)
                     stays = np.flatnonzero(np.cumsum(step[:-1]) == 0)
                     left = b" ".join([words[i] for i in stays.tolist()])
                     removed.append(len(words) - len(stays))
