@@ -48,12 +48,14 @@ def build_index(docs: DataFrame, segment_bytes: int = 8 << 20, id_col: str = "do
     )
 
     def segment(batch: pa.RecordBatch) -> tuple:
-        counts, words = [], []
-        for text in batch.column(2).to_pylist():
-            found = words_of(text)
-            counts.append(len(found))
-            words += found
-        coded = pa.array(words, pa.binary()).dictionary_encode()
+        counts, parts = [], []
+        for text in batch.column(2):
+            # words of one text at a time: as Python objects they take some ten times its size
+            parts.append(pa.array(words_of(text.as_py()), pa.binary()))
+            counts.append(len(parts[-1]))
+        words = pa.chunked_array(parts, pa.binary()).combine_chunks()
+        del parts
+        coded = words.dictionary_encode()
         del words
         terms = coded.dictionary.to_numpy(zero_copy_only=False)
         order = np.argsort(terms)

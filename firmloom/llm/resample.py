@@ -31,8 +31,9 @@ from firmloom.llm.common import row_key, slices, stored, text_or_empty
 BUCKETS, GRAMS = 1 << 18, (4, 5)
 KINDS = 3 + len(GRAMS)
 WIDTH = KINDS * BUCKETS
-#: Text whose features are in memory at once: they take some hundred times its size.
-BATCH_BYTES = 1 << 20
+#: Text whose features are in memory at once: they take some hundred times its size, and a worker process
+#: keeps what it once took.
+BATCH_BYTES = 1 << 18
 #: Runs of one word that are features, and how often marks and runs stand in a text to be one more feature.
 RUNS, OFTEN = (3, 4, 5, 6, 8), (1, 4, 16, 64)
 #: Beforehand, one feature in so many differs between target and raw text; what smooths its ratio.
@@ -309,13 +310,15 @@ def select_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     @F.pandas_udf("double")
     def weight(ids: pd.Series, unknown: pd.Series, texts: pd.Series) -> pd.Series:
         out, inside = [], _contains(good, pa.array(ids.to_numpy())) & ~unknown.to_numpy(dtype=bool)
-        begin, size = 0, 0
-        coded = [t.encode() if t else b"" for t in texts]
-        for i, text in enumerate([*coded, b""]):
-            if i == len(coded) or (size and size + len(text) > BATCH_BYTES):
-                out.append(ratios.weights(coded[begin:i], inside[begin:i]))
-                begin, size = i, 0
-            size += len(text)
+        begin, coded, size = 0, [], 0
+        for i, text in enumerate(texts):
+            data = text.encode() if text else b""
+            if size and size + len(data) > BATCH_BYTES:
+                out.append(ratios.weights(coded, inside[begin:i]))
+                begin, coded, size = i, [], 0
+            coded.append(data)
+            size += len(data)
+        out.append(ratios.weights(coded, inside[begin:]))
         return pd.Series(np.concatenate(out))
 
     # A long that may be null would come as doubles, which round large ids.
