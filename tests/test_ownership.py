@@ -57,3 +57,13 @@ def test_circles(spark, tmp_path):
     circle = [("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("e", "d"), ("e", "top")]
     assert owners_of(spark, tmp_path, circle) == {(x, None, True) for x in "abcd"} | {("e", "top", True)}
     assert owners_of(spark, tmp_path / "z", []) == set()
+
+
+def test_rounds_stay_short_where_owners_meet_again(spark, tmp_path):
+    """Second owners that lead to the same top make no more rows: all rounds write some rows a company."""
+    edges = [(f"n{c}-{i}", f"n{c}-{i + step}") for c in range(30) for i in range(63) for step in (1, 2) if step == 1 or i % 3 == 0]
+    edges += [("n3-63", "n3-60"), ("n4-63", "n4-10"), ("n4-20", "aside")]
+    assert owners_of(spark, tmp_path, edges) == plain_owners(edges)
+    written = spark.read.option("recursiveFileLookup", True).schema("lei string").parquet(str(tmp_path / "o")).count()
+    assert written <= 25 * len({c for c, _ in edges})
+    print("rows written a company", written / len({c for c, _ in edges}))
