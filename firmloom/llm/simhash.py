@@ -99,7 +99,8 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return (
         variants.alias("x")
         .join(
-            variants.alias("y"),
+            # as Spark takes the explode for no longer than the fingerprints, it would broadcast 64 rows for each
+            variants.alias("y").hint("merge"),
             (F.col("x.bit") == F.col("y.bit"))
             & (F.col("x.rest") == F.col("y.rest"))
             & (F.col("x.fp") < F.col("y.fp"))
@@ -140,8 +141,9 @@ def keep_rows(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_co
     kept = found.groupBy("root").agg(F.min(order).alias("k"))
     copies = found.groupBy("doc_id", "row_key").agg(F.count("*").alias("copies")).alias("c")
     kept = kept.select("k.doc_id", "k.row_key").distinct().alias("k")
+    # written ids and keys that repeat take few bytes a row
     kept = kept.join(
-        copies, F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.row_key") == F.col("c.row_key"))
+        copies.hint("merge"), F.col("k.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("k.row_key") == F.col("c.row_key"))
     ).select(F.col("k.doc_id").alias("__kept_id"), F.col("k.row_key").alias("__kept_key"), F.col("copies").alias("__copies"))
     match = F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")) & (row_key(text_col) == F.col("__kept_key"))
     marked = docs.join(kept, match)
